@@ -9,6 +9,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The code points Python's str.isspace() accepts.
 WHITESPACE = (
@@ -94,13 +95,13 @@ def java_quote(literal: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", literal)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc_normalize(text: pd.Series) -> pd.Series:
     """NFKC form; Spark has no built-in Unicode normalisation."""
     return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfd(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFD", t), na_action="ignore")
 

@@ -6,10 +6,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.text import split_words
 
-_COUNTS = "substitutions int, insertions int, deletions int"
+_COUNTS = T.StructType([
+    T.StructField(name, T.IntegerType()) for name in ("substitutions", "insertions", "deletions")
+])
 
 
 def align_counts(reference: list, hypothesis: list) -> tuple[int, int, int]:
@@ -74,3 +77,14 @@ def error_rates(df: DataFrame, reference: str, hypothesis: str, key: str | None
         F.round(_rate(F.col("word_edits"), F.col("ref_words")), 6).alias("wer"),
         F.round(_rate(F.col("char_edits"), F.col("ref_chars")), 6).alias("cer"),
     )
+
+
+def character_error_rates(df: DataFrame, reference: str, hypothesis: str, key: str) -> DataFrame:
+    """Character error rate per key, on built-in expressions only."""
+    ref, hyp = F.col(reference), F.col(hypothesis)
+    totals = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.length(ref)).alias("ref_chars"),
+        F.sum(F.levenshtein(ref, hyp)).alias("char_edits"),
+    )
+    return totals.withColumn("cer", F.round(_rate(F.col("char_edits"), F.col("ref_chars")), 6))

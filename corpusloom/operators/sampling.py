@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,10 +50,17 @@ class OrderedCorpus:
             *(columns or scan.columns),
             F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at"),
         )
+        return cap_rows(self._number(picked, offsets), cap)
+
+    def number(self, rows: DataFrame) -> DataFrame:
+        """``ordinal`` of rows of these files that carry ``path`` and ``at``."""
+        starts = accumulate((rows for _, rows in self.files), initial=0)
+        return self._number(rows, [(path, start) for (path, _), start in zip(self.files, starts)])
+
+    def _number(self, rows: DataFrame, offsets: list[tuple[str, int]]) -> DataFrame:
         table = broadcast_if_small(self._spark.createDataFrame(offsets, _OFFSETS), len(offsets))
-        numbered = picked.join(table, "path").withColumn("ordinal", F.expr("first_ordinal + at"))
-        numbered = numbered.drop("path", "at", "first_ordinal")
-        return numbered if cap is None else cap_rows(numbered, cap)
+        numbered = rows.join(table, "path").withColumn("ordinal", F.expr("first_ordinal + at"))
+        return numbered.drop("path", "at", "first_ordinal")
 
     def head_percent(
         self, percent: float, total: str = "exact", columns: Sequence[str] | None = None

@@ -10,6 +10,7 @@ from corpusloom.operators.vocab.merges import MergeOptions, learn_merges
 from corpusloom.operators.vocab.table import (
     WORDPIECE_SPECIAL, check_size, code_points, covered_characters, head_rows, vocabulary,
 )
+from corpusloom.session import stored_words
 
 # Fixed value: longest piece when none is asked for.
 DEFAULT_MAX_LENGTH = 16
@@ -27,13 +28,14 @@ def train_bpe(
     """
     check_size(vocab_size)
     head = head_rows(control, user, byte_fallback)
-    characters = covered_characters(words, coverage)
-    room = vocab_size - len(head) - len(characters)
-    if room < 0:
-        raise ValueError(f"vocab_size must be at least {vocab_size - room} for this alphabet")
     options = MergeOptions(max_length=max_piece_length if max_piece_length > 0 else DEFAULT_MAX_LENGTH)
-    covered = code_points(c for c, _ in characters)
-    merges = learn_merges(spark, words, room, options, covered)
+    with stored_words(spark, words) as stored:
+        characters = covered_characters(stored, coverage)
+        room = vocab_size - len(head) - len(characters)
+        if room < 0:
+            raise ValueError(f"vocab_size must be at least {vocab_size - room} for this alphabet")
+        covered = code_points(c for c, _ in characters)
+        merges = learn_merges(spark, stored, room, options, covered)
     if strict and len(merges) < room:
         raise ValueError(f"the corpus supports {vocab_size - room + len(merges)} pieces")
     pieces = [p for p, _ in merges] + [c for c, _ in characters]
@@ -50,15 +52,17 @@ def train_wordpiece(
     more. Words keep only characters of the alphabet, as for the coverage of BPE.
     """
     check_size(vocab_size)
-    characters = covered_characters(words, 1.0)[:alphabet_limit]
-    alphabet = sorted(c for c, _ in characters)
-    inner = sorted(f"##{r['ch']}" for r in _inner_characters(words).collect() if r["ch"] in set(alphabet))
-    head = [(p, 0.0, "control") for p in WORDPIECE_SPECIAL]
-    room = vocab_size - len(head) - len(alphabet) - len(inner)
     options = MergeOptions(
         max_length=1 << 20, min_count=min_count, skip_known_pieces=False, inner_mark="##"
     )
-    merges = learn_merges(spark, words, max(0, room), options, code_points(alphabet))
+    head = [(p, 0.0, "control") for p in WORDPIECE_SPECIAL]
+    with stored_words(spark, words) as stored:
+        characters = covered_characters(stored, 1.0)[:alphabet_limit]
+        alphabet = sorted(c for c, _ in characters)
+        inside = {r["ch"] for r in _inner_characters(stored).collect()}
+        inner = [f"##{c}" for c in alphabet if c in inside]
+        room = vocab_size - len(head) - len(alphabet) - len(inner)
+        merges = learn_merges(spark, stored, max(0, room), options, code_points(alphabet))
     pieces = dict.fromkeys([*alphabet, *inner, *(p for p, _ in merges)])
     return vocabulary(spark, [*head, *((p, 0.0, "learned") for p in pieces)])
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.vocab.symbols import (
     CODE_POINTS, Batch, advance, blocks, in_one, pack, records, spell, summed, unpack,
 )
-from corpusloom.session import drop_path, scratch_path
+from corpusloom.session import drop_path, scratch_path, spread_words
 
 TRACKED_PAIRS = 200_000
 WATCHED_PAIRS = 384
@@ -178,7 +178,7 @@ class MergeTrainer:
         self._pending: list[Batch] = []
         self._next = 2 * CODE_POINTS
         self._path: str | None = None
-        self._tasks = 0
+        self._rows = 0
         self._state: DataFrame | None = None
         inner = CODE_POINTS if options.inner_mark else 0
 
@@ -196,11 +196,8 @@ class MergeTrainer:
         path = scratch_path(self.spark, "merge-state")
         state.write.parquet(path)
         stored = self.spark.read.schema(_STATE).parquet(path)
-        if not self._tasks:
-            rows = stored.count()
-            slots = self.spark.sparkContext.defaultParallelism
-            self._tasks = max(1, min(-(-rows // WORDS_PER_PARTITION), 4 * slots))
-        stored = stored.repartition(self._tasks)
+        self._rows = self._rows or stored.count()
+        stored = spread_words(stored, self._rows, WORDS_PER_PARTITION)
         old_state, old_path = self._state, self._path
         self._state, self._path, self._pending = stored.persist(), path, []
         if old_state is not None:
@@ -262,7 +259,7 @@ class MergeTrainer:
             yield records(_OVERLAP, pairs, np.ones(len(pairs)))
 
         found = self._state.mapInArrow(step, _CHANGES)
-        if self._tasks > FEW_TASKS:
+        if self._rows > FEW_TASKS * WORDS_PER_PARTITION:
             found = found.groupBy("kind", "first", "second").agg(F.sum("value").alias("value"))
         # Bounded by the vocabulary: pairs with a symbol of the batch, and pairs of watched pairs.
         table = found.toArrow()

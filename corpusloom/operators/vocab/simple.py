@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.stats import char_coverage
 from corpusloom.operators.vocab.table import check_size, head_rows, vocabulary
+from corpusloom.session import stored_words
 
 
 def char_scores(words: DataFrame, coverage: float = 1.0) -> DataFrame:
@@ -63,4 +64,6 @@ def train_word(
     """Word vocabulary."""
     check_size(vocab_size)
     head = head_rows(control, user, byte_fallback)
-    return _assemble(spark, word_scores(words, vocab_size - len(head)), vocab_size, head, strict)
+    with stored_words(spark, words) as stored:
+        scored = word_scores(stored, vocab_size - len(head))
+        return _assemble(spark, scored, vocab_size, head, strict)

@@ -50,18 +50,9 @@ class Block:
         return pa.RecordBatch.from_arrays([lists, pa.array(self.weight, pa.int64())], ["symbols", "n"])
 
     def pairs(self) -> np.ndarray:
-        """Packed pair at each position but the last; -1 where nothing may be merged.
-
-        In a run of equal symbols every second pair overlaps the one before it and is left out.
-        """
+        """Packed pair at each position but the last; -1 across words and at uncovered symbols."""
         left, right = self.symbols[:-1], self.symbols[1:]
         inside = (self.word[:-1] == self.word[1:]) & (left != UNCOVERED) & (right != UNCOVERED)
-        equal = inside & (left == right)
-        if equal.any():
-            at = np.arange(len(equal))
-            starts = equal & ~np.concatenate([[False], equal[:-1] & (right[:-1] == right[1:])])
-            since = at - np.maximum.accumulate(np.where(starts, at, 0))
-            inside &= ~(equal & (since % 2 == 1))
         return np.where(inside, (left << 32) | right, -1)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +64,20 @@ class Block:
         at = np.flatnonzero(keys[slot] == codes)
         return at, slot[at]
 
+    def find_apart(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``find``, but in a run of equal symbols every second, overlapping pair is left out."""
+        at, slot = self.find(keys)
+        if len(at) > 1:
+            follows = np.concatenate([[False], (np.diff(at) == 1) & (slot[1:] == slot[:-1])])
+            place = np.arange(len(at))
+            since = place - np.maximum.accumulate(np.where(follows, 0, place))
+            at, slot = at[since % 2 == 0], slot[since % 2 == 0]
+        return at, slot
+
     def merged(self, batch: Batch) -> tuple[Block, np.ndarray]:
         """The block after a batch of merges, and a mask of the words that changed."""
         keys, values = batch
-        at, slot = self.find(keys)
+        at, slot = self.find_apart(keys)
         touched = np.zeros(len(self.weight), bool)
         if not len(at):
             return self, touched

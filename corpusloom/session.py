@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,3 +68,29 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only when the known row count is bounded; AQE decides otherwise."""
     return F.broadcast(df) if rows <= SMALL_TABLE_ROWS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has too few splits for a CPU-heavy step.
+
+    A large table has many splits already and is returned unchanged, without a shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * slots else df.repartition(slots)
+
+
+def spread_words(df: DataFrame, rows: int, rows_per_task: int) -> DataFrame:
+    """A cached word table in tasks of about equal size, in bounded number."""
+    most = max(4096, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(1, min(-(-rows // rows_per_task), most)))
+
+
+@contextmanager
+def stored_words(spark: SparkSession, words: DataFrame) -> Iterator[DataFrame]:
+    """A word-count table written once, so that several passes do not read the corpus again."""
+    path = scratch_path(spark, "words")
+    words.select("word", F.col("n").cast("long").alias("n")).write.parquet(path)
+    try:
+        yield spark.read.schema("word string, n long").parquet(path)
+    finally:
+        drop_path(spark, path)

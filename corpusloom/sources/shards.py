@@ -94,12 +94,13 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def text_fallback(
     spark: SparkSession, root: str, split: str = "train", preferred: str | None = None,
     order: Sequence[str] = CORPUS_TEXT_ORDER, keep: Sequence[str] = (),
-    num_files: int | None = None,
+    num_files: int | None = None, positions: bool = False,
 ) -> DataFrame:
     """One ``text`` column: the preferred name where a file has it, else the first of ``order``.
 
     Presence is decided per file from its footer, read by tasks. Files without any of the names
     are left out. One scan per chosen column name, so each scan reads a single text column.
+    ``positions`` adds the file ``path`` and the row number ``at`` in it.
     """
     limit = SPLIT_SHARDS.get(split) if num_files is None else num_files
     listing = _listing(spark, root, split)
@@ -118,7 +119,12 @@ def text_fallback(
         if paths:
             part = spark.read.parquet(*paths)
             index = shard_index(F.col("_metadata.file_path"), split)
-            scans.append(part.select(*keep, F.col(name).alias("text"), index.alias("shard")))
+            place = (
+                F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at")
+            )
+            scans.append(part.select(
+                *keep, F.col(name).alias("text"), index.alias("shard"), *(place if positions else ())
+            ))
     if not scans:
         raise ValueError(f"no shard under {root} has one of {names}")
     out = scans[0]

@@ -17,7 +17,7 @@ def path_list(paths: str | Sequence[str]) -> list[str]:
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Plain text, one sentence per line, in ``value``."""
-    return spark.read.text(path_list(paths))
+    return spark.read.option("lineSep", "\n").text(path_list(paths))
 
 
 def read_manifest(
