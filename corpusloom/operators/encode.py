@@ -19,7 +19,7 @@ from corpusloom.functions.text import bert_normalize, bert_words, collapse_white
 from corpusloom.operators.segment import (
     UNKNOWN_PENALTY, as_bytes, best_path, join_unknown, longest_match, marked, merge_pieces,
 )
-from corpusloom.session import SMALL_TABLE_ROWS, spread
+from corpusloom.session import SMALL_TABLE_ROWS
 
 MODELS = ("bpe", "unigram", "char", "word", "wordpiece")
 _CACHED_WORDS = 200_000
@@ -76,12 +76,21 @@ class Encoder:
         return text.split() if self.model == "wordpiece" else marked(text)
 
 
-def load_encoder(vocab: DataFrame, model: str) -> Encoder:
+def _vocab_rows(vocab: DataFrame) -> list:
     """Driver copy of a vocabulary table, refused beyond the size that may be broadcast."""
     rows = vocab.limit(SMALL_TABLE_ROWS + 1).collect()
     if len(rows) > SMALL_TABLE_ROWS:
         raise ValueError(f"a vocabulary may have at most {SMALL_TABLE_ROWS} pieces")
-    return Encoder(rows, model)
+    return rows
+
+
+def load_encoder(vocab: DataFrame, model: str) -> Encoder:
+    """Encoder of a vocabulary table."""
+    return Encoder(_vocab_rows(vocab), model)
+
+
+def _pieces_by_id(vocab: DataFrame) -> dict[int, str]:
+    return {r["id"]: r["piece"] for r in _vocab_rows(vocab)}
 
 
 def _encode_udf(shared, ids: bool):
@@ -120,16 +129,14 @@ def encode_pieces(
     df: DataFrame, vocab: DataFrame, model: str, text: str = "text", out: str = "pieces"
 ) -> DataFrame:
     """Text to pieces; unknown characters keep their surface."""
-    rows = spread(df)
-    return rows.withColumn(out, _encoded(rows, vocab, model, text, ids=False))
+    return df.withColumn(out, _encoded(df, vocab, model, text, ids=False))
 
 
 def encode_ids(
     df: DataFrame, vocab: DataFrame, model: str, text: str = "text", out: str = "ids"
 ) -> DataFrame:
     """Text to ids; unknown pieces get the unknown id."""
-    rows = spread(df)
-    return rows.withColumn(out, _encoded(rows, vocab, model, text, ids=True))
+    return df.withColumn(out, _encoded(df, vocab, model, text, ids=True))
 
 
 def decode_pieces(pieces: Column) -> Column:
@@ -152,15 +159,16 @@ def decode_wordpieces(pieces: Column) -> Column:
     return F.replace(F.array_join(pieces, " "), F.lit(" ##"), F.lit(""))
 
 
-def ids_to_pieces(df: DataFrame, vocab: DataFrame, key: str, ids: str = "ids") -> DataFrame:
-    """Rows (key, pieces) for stored ids, by a join on the id with the positions kept.
+def ids_to_pieces(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str = "pieces") -> DataFrame:
+    """Stored ids back to pieces; a map over the rows, like encoding. Ids out of range give null."""
+    shared = df.sparkSession.sparkContext.broadcast(_pieces_by_id(vocab))
+
+    @F.pandas_udf("array<string>")
+    def look_up(rows: pd.Series) -> pd.Series:
+        pieces = shared.value
+        return rows.map(lambda row: [pieces.get(i) for i in row], na_action="ignore")
 
-    Gathering is per text, so one group never holds more than one row of the input.
-    """
-    flat = df.select(F.col(key), F.posexplode(ids).alias("at", "id"))
-    named = flat.join(vocab.select("id", "piece"), "id")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "piece")))
-    return named.groupBy(key).agg(F.transform(ordered, lambda s: s["piece"]).alias("pieces"))
+    return df.withColumn(out, look_up(ids))
 
 
 def roundtrip_check(df: DataFrame, key: str, text: str = "text", pieces: str = "pieces") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.numbers import coerce_duration
+from corpusloom.operators.joins import hot_keys, left_lookup
 
 # Shortest and longest utterance, in seconds.
 MIN_DURATION = 0.1
@@ -78,16 +79,17 @@ def manifest_rejects(
     """Every row with ``reasons``, the codes it fails; an empty array means it is valid.
 
     A path is a duplicate when two or more rows carry it. Copies are counted per path with a
-    partial aggregate and only repeated paths are joined back. ``files`` (column
+    partial aggregate and only repeated paths are joined back, hot paths by broadcast. ``files`` (column
     ``audio_filepath``) lists the audio that exists; without it that check is skipped.
     """
-    repeated = df.groupBy("audio_filepath").agg(F.count(F.lit(1)).alias("_copies"))
-    repeated = repeated.filter("_copies > 1 and audio_filepath <> ''")
-    rows = df.join(repeated, "audio_filepath", "left")
+    copies = df.groupBy("audio_filepath").agg(F.count(F.lit(1)).alias("_copies"))
+    hot = hot_keys(copies, "audio_filepath", "_copies")
+    repeated = copies.filter("_copies > 1 and audio_filepath <> ''")
+    rows = left_lookup(df, repeated, "audio_filepath", hot)
     missing = F.coalesce(F.col("audio_filepath") == "", F.lit(True))
     if files is not None:
         known = files.select("audio_filepath").distinct().withColumn("_known", F.lit(True))
-        rows = rows.join(known, "audio_filepath", "left")
+        rows = left_lookup(rows, known, "audio_filepath", hot)
         missing = missing | F.col("_known").isNull()
     seconds = F.col(raw_duration).try_cast("double")
     checks = (

@@ -290,6 +290,7 @@ ORACLES: dict[str, str] = {
     "encode_pieces": f"SELECT doc_id, array_to_string({CHARS}, ' ') AS pieces FROM documents",
     "encode_ids": f"SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY place) AS ids FROM ({ENCODED_WORDS}) GROUP BY doc_id",
     "decode_pieces": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS text FROM documents",
+    "ids_to_pieces": f"SELECT doc_id, array_to_string({words('text')}, ' ') AS text FROM documents",
     "roundtrip_check": "SELECT lang, count(*) AS texts, count(*) AS unchanged, 0.0 AS mismatch_rate FROM documents GROUP BY lang",
     "token_preview": (
         "SELECT doc_id, array_to_string(list_slice(ids, 1, 8), ' ') || CASE WHEN len(ids) > 8 THEN ' ...' ELSE '' END AS preview, "

@@ -454,7 +454,7 @@ def _(spark, sf_dir):
 
 @query("token_length_stats")
 def _(spark, sf_dir):
-    encoded = encode.encode_ids(docs(spark, sf_dir), char_vocab(spark, sf_dir), "char")
+    encoded = encode.encode_ids(spread(docs(spark, sf_dir)), char_vocab(spark, sf_dir), "char")
     return stats.token_length_stats(encoded, "lang")
 
 
@@ -602,51 +602,59 @@ def _(spark, sf_dir):
 
 @query("encode_pieces")
 def _(spark, sf_dir):
-    encoded = encode.encode_pieces(docs(spark, sf_dir).select("doc_id", "text"), char_vocab(spark, sf_dir), "char")
+    encoded = encode.encode_pieces(spread(docs(spark, sf_dir).select("doc_id", "text")), char_vocab(spark, sf_dir), "char")
     return encoded.select("doc_id", F.array_join("pieces", " ").alias("pieces"))
 
 
 @query("encode_pieces_bpe")
 def _(spark, sf_dir):
-    encoded = encode.encode_pieces(docs(spark, sf_dir).select("doc_id", "text"), trained(spark, sf_dir, "bpe"), "bpe")
+    encoded = encode.encode_pieces(spread(docs(spark, sf_dir).select("doc_id", "text")), trained(spark, sf_dir, "bpe"), "bpe")
     return encoded.select("doc_id", "pieces")
 
 
 @query("encode_pieces_unigram")
 def _(spark, sf_dir):
-    encoded = encode.encode_pieces(docs(spark, sf_dir).select("doc_id", "text"), trained(spark, sf_dir, "unigram"), "unigram")
+    encoded = encode.encode_pieces(spread(docs(spark, sf_dir).select("doc_id", "text")), trained(spark, sf_dir, "unigram"), "unigram")
     return encoded.select("doc_id", "pieces")
 
 
 @query("encode_ids")
 def _(spark, sf_dir):
     vocab = simple.train_word(spark, fx.document_words(spark, sf_dir), WORD_VOCAB)
-    encoded = encode.encode_ids(docs(spark, sf_dir).select("doc_id", "text"), vocab, "word")
+    encoded = encode.encode_ids(spread(docs(spark, sf_dir).select("doc_id", "text")), vocab, "word")
     return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
 
 @query("decode_pieces")
 def _(spark, sf_dir):
-    encoded = encode.encode_pieces(docs(spark, sf_dir).select("doc_id", "text"), char_vocab(spark, sf_dir), "char")
+    encoded = encode.encode_pieces(spread(docs(spark, sf_dir).select("doc_id", "text")), char_vocab(spark, sf_dir), "char")
     return encoded.select("doc_id", encode.decode_pieces(F.col("pieces")).alias("text"))
 
 
+@query("ids_to_pieces")
+def _(spark, sf_dir):
+    vocab = char_vocab(spark, sf_dir)
+    encoded = encode.encode_ids(spread(docs(spark, sf_dir).select("doc_id", "text")), vocab, "char")
+    stored = encode.ids_to_pieces(encoded, vocab)
+    return stored.select("doc_id", encode.decode_pieces(F.col("pieces")).alias("text"))
+
+
 @query("roundtrip_check")
 def _(spark, sf_dir):
-    encoded = encode.encode_pieces(docs(spark, sf_dir), trained(spark, sf_dir, "bpe"), "bpe")
+    encoded = encode.encode_pieces(spread(docs(spark, sf_dir)), trained(spark, sf_dir, "bpe"), "bpe")
     return encode.roundtrip_check(encoded, "lang")
 
 
 @query("token_preview")
 def _(spark, sf_dir):
     vocab = simple.train_word(spark, fx.document_words(spark, sf_dir), WORD_VOCAB)
-    encoded = encode.encode_ids(docs(spark, sf_dir).select("doc_id", "text"), vocab, "word")
+    encoded = encode.encode_ids(spread(docs(spark, sf_dir).select("doc_id", "text")), vocab, "word")
     return encoded.select("doc_id", encode.token_preview(F.col("ids")).alias("preview"), F.size("ids").cast("long").alias("tokens"))
 
 
 @query("wordpiece_encode")
 def _(spark, sf_dir):
-    encoded = encode.encode_pieces(docs(spark, sf_dir).select("doc_id", "text"), trained(spark, sf_dir, "wordpiece"), "wordpiece")
+    encoded = encode.encode_pieces(spread(docs(spark, sf_dir).select("doc_id", "text")), trained(spark, sf_dir, "wordpiece"), "wordpiece")
     return encoded.select("doc_id", "pieces")
 
 
@@ -659,7 +667,7 @@ def _(spark, sf_dir):
 
 @query("token_counts")
 def _(spark, sf_dir):
-    encoded = encode.encode_ids(docs(spark, sf_dir).select("text"), char_vocab(spark, sf_dir), "char")
+    encoded = encode.encode_ids(spread(docs(spark, sf_dir).select("text")), char_vocab(spark, sf_dir), "char")
     return encode.token_counts(encoded).withColumn("token", F.col("token").cast("long"))
 
 

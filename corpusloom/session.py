@@ -71,7 +71,7 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan has too few splits for a CPU-heavy step.
+    """Rows of a plain scan over all cores when it has too few splits for a CPU-heavy step.
 
     A large table has many splits already and is returned unchanged, without a shuffle.
     """
