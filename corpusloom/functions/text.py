@@ -16,6 +16,11 @@ WHITESPACE = (
     r"\x09-\x0d\x1c-\x1f\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same code points as characters, for trimming.
+_WHITESPACE_CHARACTERS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 WORD_MARK = "▁"
 
 # Scripts a word is cut at; anything else is one further class.
@@ -29,7 +34,7 @@ _EAST_ASIAN = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\x{30fc}"
 
 def strip_text(text: Column) -> Column:
     """Unicode strip: every leading and trailing whitespace code point."""
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return F.btrim(text, F.lit(_WHITESPACE_CHARACTERS))
 
 
 def clean_or_null(text: Column) -> Column:

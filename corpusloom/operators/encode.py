@@ -9,15 +9,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import bert_normalize, bert_words, collapse_whitespace
 from corpusloom.operators.segment import (
-    UNKNOWN_PENALTY, as_bytes, best_path, join_unknown, longest_match, marked, merge_pieces,
+    UNKNOWN_PENALTY, as_bytes, best_path, join_unknown, longest_match, marked, merge_pieces, prefix_table,
 )
 from corpusloom.session import SMALL_TABLE_ROWS
 
@@ -42,14 +43,14 @@ class Encoder:
         user = sorted((r["piece"] for r in rows if r["kind"] == "user"), key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, user)) + ")") if user else None
         self.user = set(user)
-        self.longest = max(map(len, self.scores), default=1)
+        self.table = prefix_table(self.scores) if model == "unigram" else {}
         self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
 
     def _cut(self, word: str) -> list[str]:
         if self.model == "bpe":
             return merge_pieces(list(word), self.scores)
         if self.model == "unigram":
-            return best_path(word, self.scores, self.longest, self.unknown_score)
+            return best_path(word, self.table, self.unknown_score)
         if self.model == "char":
             return list(word)
         return [word]
@@ -94,25 +95,30 @@ def _pieces_by_id(vocab: DataFrame) -> dict[int, str]:
 
 
 def _encode_udf(shared, ids: bool):
-    @F.pandas_udf("array<int>" if ids else "array<string>")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Arrow in, Arrow out: tokens of a batch are one flat array with offsets per text."""
+
+    @F.arrow_udf("array<int>" if ids else "array<string>")
+    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = shared.value
         seen: dict[str, list] = {}
 
         def of_word(word: str) -> list:
-            found = seen.get(word)
-            if found is None:
-                if len(seen) >= _CACHED_WORDS:
-                    seen.clear()
-                pieces = encoder.word_pieces(word)
-                found = seen[word] = [encoder.piece_id(p) for p in pieces] if ids else pieces
+            if len(seen) >= _CACHED_WORDS:
+                seen.clear()
+            pieces = encoder.word_pieces(word)
+            found = seen[word] = [encoder.piece_id(p) for p in pieces] if ids else pieces
             return found
 
-        def of_text(text: str) -> list:
-            return list(chain.from_iterable(map(of_word, encoder.words(text))))
-
         for batch in texts:
-            yield batch.map(of_text, na_action="ignore")
+            flat: list = []
+            ends = [0]
+            for text in batch.to_pylist():
+                for word in encoder.words(text) if text is not None else ():
+                    flat += seen.get(word) or of_word(word)
+                ends.append(len(flat))
+            values = pa.array(flat, pa.int32() if ids else pa.string())
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            yield pc.if_else(batch.is_null(), pa.scalar(None, lists.type), lists) if batch.null_count else lists
 
     return encode
 

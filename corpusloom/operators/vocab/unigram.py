@@ -10,7 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.segment import UNKNOWN_PENALTY, best_path, expected_pieces
+from corpusloom.operators.segment import (
+    UNKNOWN_PENALTY, best_path, expected_pieces, piece_weights, prefix_table,
+)
 from corpusloom.operators.vocab.table import (
     check_size, covered_characters, head_rows, vocabulary,
 )
@@ -24,7 +26,9 @@ MARGIN = 1.1
 LEAST_COUNT = 0.5
 SEED_SIZE = 1_000_000
 
-WORDS_PER_TASK = 2_000
+WORDS_PER_TASK = 25_000
+# Typical cost of a character, to keep products in range.
+PER_CHARACTER = 2.5
 
 
 def substring_counts(words: DataFrame, longest: int) -> DataFrame:
@@ -58,20 +62,23 @@ class _Trainer:
 
     def _sums(self, scores: dict[str, float], viterbi: bool) -> dict[str, float]:
         """Expected or best-path count of each piece, one pass over the word table."""
-        shared = self.spark.sparkContext.broadcast(scores)
-        longest, unknown = self.longest, min(scores.values()) - UNKNOWN_PENALTY
+        table, unknown = prefix_table(scores), min(scores.values()) - UNKNOWN_PENALTY
+        if not viterbi:
+            table = piece_weights(table, PER_CHARACTER)
+            unknown = math.exp(unknown + PER_CHARACTER)
+        shared = self.spark.sparkContext.broadcast(table)
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             table, sums = shared.value, defaultdict(float)
             for batch in batches:
                 for word, n in zip(batch["word"], batch["n"]):
                     if viterbi:
-                        for piece in best_path(word, table, longest, unknown):
+                        for piece in best_path(word, table, unknown):
                             sums[piece] += n
                     else:
-                        for piece, share in expected_pieces(word, table, longest, unknown)[1]:
+                        for piece, share in expected_pieces(word, table, unknown):
                             sums[piece] += n * share
-            kept = [(p, v) for p, v in sums.items() if p in table]
+            kept = [(p, v) for p, v in sums.items() if table.get(p) is not None]
             yield pd.DataFrame(kept, columns=["piece", "value"])
 
         totals = self.words.mapInPandas(count, "piece string, value double").groupBy("piece").agg(
@@ -92,16 +99,17 @@ class _Trainer:
         """Keep the pieces whose removal would cost the most likelihood."""
         counts = self._sums(scores, viterbi=True)
         total = sum(counts.values())
-        longest, unknown = self.longest, min(scores.values()) - UNKNOWN_PENALTY
-        shared = self.spark.sparkContext.broadcast(scores)
+        unknown = min(scores.values()) - UNKNOWN_PENALTY
+        shared = self.spark.sparkContext.broadcast(prefix_table(scores))
 
         def losses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             table = shared.value
             for batch in batches:
                 loss = []
                 for piece, n in zip(batch["piece"], batch["n"]):
-                    other = best_path(piece, table, longest, unknown, without=piece)
-                    gap = table[piece] - sum(table.get(o, unknown) for o in other)
+                    other = best_path(piece, table, unknown, whole=False)
+                    scored = (table.get(o) for o in other)
+                    gap = table[piece] - sum(unknown if s is None else s for s in scored)
                     loss.append(n / total * gap if n else 0.0)
                 yield batch.assign(loss=loss)[["piece", "loss"]]
 

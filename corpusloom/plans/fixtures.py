@@ -32,12 +32,15 @@ def shard_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def named_shards(spark: SparkSession, sf_dir: str, numbers: list[int] | None = None) -> str:
+def named_shards(
+    spark: SparkSession, sf_dir: str, numbers: list[int] | None = None,
+    columns: tuple[str, ...] = ("*",),
+) -> str:
     """Folder with ``train-00000.parquet`` to ``train-00004.parquet``."""
     root = scratch_path(spark, "shards")
     for k, part in enumerate(shard_parts(spark, sf_dir)):
         if numbers is None or k in numbers:
-            part.write.parquet(f"{root}/train-{k:05d}.parquet")
+            part.select(*columns).write.parquet(f"{root}/train-{k:05d}.parquet")
     return root
 
 

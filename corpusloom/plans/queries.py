@@ -60,7 +60,7 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_split")
 def _(spark, sf_dir):
-    rows = shards.scan_split(spark, fx.named_shards(spark, sf_dir), num_files=3, columns=["doc_id", "lang"])
+    rows = shards.scan_split(spark, fx.named_shards(spark, sf_dir, columns=("doc_id", "lang")), num_files=3, columns=["doc_id", "lang"])
     return rows.select("doc_id", "lang", F.col("shard").cast("long").alias("shard"))
 
 
@@ -105,7 +105,7 @@ def _(spark, sf_dir):
 
 @query("shard_inventory")
 def _(spark, sf_dir):
-    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir)}/train-*.parquet"))
+    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet"))
     return found.select(shards.shard_name(F.col("path")).alias("shard"), "rows").groupBy("shard").agg(
         F.sum("rows").alias("rows")
     )
@@ -113,7 +113,7 @@ def _(spark, sf_dir):
 
 @query("find_shards")
 def _(spark, sf_dir):
-    root = fx.named_shards(spark, sf_dir)
+    root = fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))
     found = shards.find_shards(spark, [root, root])
     return found.select(shards.shard_name(F.col("path")).alias("shard"), (F.col("bytes") > 0).alias("has_bytes"))
 
@@ -191,7 +191,7 @@ def _(spark, sf_dir):
 @query("write_shard_manifest")
 def _(spark, sf_dir):
     path = scratch_path(spark, "record")
-    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir)}/train-*.parquet"))
+    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet"))
     chosen = sampling.select_shards(found, 50.0, fx.SHARDS)
     listed = chosen.select(shards.shard_name(F.col("path")).alias("shard"), "path", "rows", F.lit("local").alias("source"))
     header = {"split": "train", "percent": 50.0, "total_shards_for_split": fx.SHARDS,
@@ -229,14 +229,15 @@ def _(spark, sf_dir):
 
 @query("clean_text")
 def _(spark, sf_dir):
-    lines = docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    rows = spread(docs(spark, sf_dir).select("doc_id", "text"))
+    lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     cleaned = lines.withColumn("text", tx.clean_or_null(F.col("text"))).filter("text is not null")
     return cleaned.select("doc_id", F.col("line").cast("long").alias("line"), "text")
 
 
 @query("global_ordinal")
 def _(spark, sf_dir):
-    corpus = sampling.OrderedCorpus(spark, f"{fx.named_shards(spark, sf_dir)}/train-*.parquet")
+    corpus = sampling.OrderedCorpus(spark, f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet")
     return corpus.rows(["doc_id"])
 
 
@@ -247,13 +248,13 @@ def _(spark, sf_dir):
 
 @query("cap_rows")
 def _(spark, sf_dir):
-    corpus = sampling.OrderedCorpus(spark, f"{fx.named_shards(spark, sf_dir)}/train-*.parquet")
+    corpus = sampling.OrderedCorpus(spark, f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet")
     return sampling.stride_sample(corpus.rows(["doc_id"], cap=450), 40)
 
 
 @query("head_percent")
 def _(spark, sf_dir):
-    corpus = sampling.OrderedCorpus(spark, f"{fx.named_shards(spark, sf_dir)}/train-*.parquet")
+    corpus = sampling.OrderedCorpus(spark, f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet")
     exact = corpus.head_percent(12.5, columns=["doc_id"]).withColumn("total", F.lit("exact"))
     estimated = corpus.head_percent(12.5, "first_shard", ["doc_id"]).withColumn("total", F.lit("first_shard"))
     return exact.unionByName(estimated)
@@ -261,7 +262,7 @@ def _(spark, sf_dir):
 
 @query("select_shards")
 def _(spark, sf_dir):
-    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir)}/train-*.parquet"))
+    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet"))
     chosen = sampling.select_shards(found, 30.0, fx.SHARDS)
     return chosen.groupBy(shards.shard_name(F.col("path")).alias("shard")).agg(F.sum("rows").alias("rows"))
 
@@ -676,7 +677,7 @@ def _(spark, sf_dir):
 
 @query("ordered_shards")
 def _(spark, sf_dir):
-    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir)}/train-*.parquet"))
+    found = shards.shard_inventory(spark.read.parquet(f"{fx.named_shards(spark, sf_dir, columns=("doc_id", "lang"))}/train-*.parquet"))
     return shards.ordered_shards(found).select(shards.shard_name(F.col("path")).alias("shard"), "rows")
 
 

@@ -80,9 +80,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def spread_words(df: DataFrame, rows: int, rows_per_task: int) -> DataFrame:
-    """A cached word table in tasks of about equal size, in bounded number."""
-    most = max(4096, 4 * df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(max(1, min(-(-rows // rows_per_task), most)))
+    """A word table in tasks of about equal size: every core busy, the number of tasks bounded."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-rows // rows_per_task), min(slots, -(-rows // 1000)), 1)
+    return df.repartition(min(tasks, max(4096, 4 * slots)))
 
 
 @contextmanager
