@@ -35,7 +35,7 @@ def pad_batches(
     Batches are numbered in ``ordinal`` order inside each group; see ``group_positions``.
     """
     numbered = group_positions(df, group).withColumn(
-        "batch", F.floor(F.col("position") / batch_size)
+        "batch", F.expr(f"position div {batch_size}")
     )
     padded = numbered.groupBy(*group, "batch").agg(
         F.count(F.lit(1)).alias("rows"),

@@ -84,7 +84,7 @@ def manifest_rejects(
     """
     copies = df.groupBy("audio_filepath").agg(F.count(F.lit(1)).alias("_copies"))
     hot = hot_keys(copies, "audio_filepath", "_copies")
-    repeated = copies.filter("_copies > 1 and audio_filepath <> ''")
+    repeated = copies.filter("_copies > 1")
     rows = left_lookup(df, repeated, "audio_filepath", hot)
     missing = F.coalesce(F.col("audio_filepath") == "", F.lit(True))
     if files is not None:
@@ -98,7 +98,7 @@ def manifest_rejects(
         seconds.isNull() | F.isnan(seconds),
         seconds == 0,
         (seconds != 0) & ~seconds.between(min_duration, max_duration),
-        F.col("_copies").isNotNull(),
+        (F.col("audio_filepath") != "") & F.col("_copies").isNotNull(),
     )
     codes = [F.when(check, F.lit(code)) for code, check in zip(REASONS, checks)]
     kept = rows.withColumn("reasons", F.array_compact(F.array(*codes)))

@@ -14,6 +14,7 @@ from corpusloom.session import broadcast_if_small
 from corpusloom.sources.shards import shard_index, shard_inventory
 
 _OFFSETS = "path string, first_ordinal long"
+_HISTOGRAM_BITS = 16
 
 
 class OrderedCorpus:
@@ -106,17 +107,36 @@ def seeded_shuffle(
     order = [shuffle_key(key, seed), *[F.col(c) for c in key]]
     if buffer is None:
         return df.orderBy(*order)
-    return df.orderBy(F.floor(F.col("ordinal") / buffer), *order)
+    return df.orderBy(F.expr(f"ordinal div {buffer}"), *order)
 
 
 def sample_sentences(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
-    """``n`` pseudo-random rows; Spark runs it as a top-k, so each task passes on ``n`` at most.
+    """Exactly ``n`` pseudo-random rows: those with the smallest hash of the unique ``key``.
 
-    Beyond the driver's limit for top-k the range-partitioned sort of Spark takes over.
+    A histogram over the leading hash bits, reading the key columns only, finds where the ``n``-th
+    hash lies; one bucket of it gives the exact bound. The rows themselves are only filtered, so
+    neither a sort nor a shuffle moves a text, however large ``n`` is.
     """
     if n <= 0:
         return df
-    return df.orderBy(shuffle_key(key, seed), *[F.col(c) for c in key]).limit(n)
+    place = F.struct(shuffle_key(key, seed).alias("h"), *[F.col(c) for c in key])
+    bucket = F.shiftright(shuffle_key(key, seed), 64 - _HISTOGRAM_BITS)
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    seen = 0
+    for row in sorted(counts.collect(), key=lambda r: r["bucket"]):
+        if seen + row["rows"] >= n:
+            inside = df.filter(bucket == row["bucket"]).select(place.alias("place"))
+            last = inside.orderBy("place").limit(n - seen).agg(F.max("place").alias("last"))
+            return _not_after(df, key, seed, last.first()["last"])
+        seen += row["rows"]
+    return df
+
+
+def _not_after(df: DataFrame, key: Sequence[str], seed: int, last) -> DataFrame:
+    hashed = shuffle_key(key, seed)
+    bound = [F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in key]
+    tie = F.struct(*[F.col(c) for c in key]) <= F.struct(*bound)
+    return df.filter((hashed < last["h"]) | ((hashed == last["h"]) & tie))
 
 
 def group_positions(df: DataFrame, group: Sequence[str], block_rows: int = 65_536) -> DataFrame:
@@ -128,7 +148,7 @@ def group_positions(df: DataFrame, group: Sequence[str], block_rows: int = 65_53
     """
     if not group:
         return df.withColumn("position", F.col("ordinal"))
-    blocks = df.withColumn("_block", F.floor(F.col("ordinal") / block_rows))
+    blocks = df.withColumn("_block", F.expr(f"ordinal div {block_rows}"))
     counts = blocks.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(
@@ -136,5 +156,10 @@ def group_positions(df: DataFrame, group: Sequence[str], block_rows: int = 65_53
     )
     inside = Window.partitionBy(*group, "_block").orderBy("ordinal")
     numbered = blocks.withColumn("_at", F.row_number().over(inside) - 1)
-    joined = numbered.join(bases, [*group, "_block"])
-    return joined.withColumn("position", F.expr("_base + _at")).drop("_block", "_at", "_base")
+    named = bases.select(*[F.col(g).alias(f"_of_{g}") for g in group], F.col("_block").alias("_in"), "_base")
+    # Null is a group like any other.
+    same = F.col("_block") == F.col("_in")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    joined = numbered.join(named, same).withColumn("position", F.expr("_base + _at"))
+    return joined.select(*df.columns, "position")

@@ -57,7 +57,7 @@ def test_rules():
 
 
 def test_group_positions_match_a_global_window(corpus):
-    rows = corpus.rows().withColumn("g", F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 3))
+    rows = corpus.rows().withColumn("g", F.when(F.col("id") % 10 < 7, 0).when(F.col("id") % 3 > 0, F.col("id") % 3))
     got = sampling.group_positions(rows, ["g"], block_rows=64).collect()
     seen, expected = {}, {}
     for r in sorted(got, key=lambda r: r["ordinal"]):
@@ -83,6 +83,17 @@ def test_sample_is_stable_under_repartition(corpus):
     assert pick(corpus.rows()) == pick(corpus.rows().repartition(7)) and len(pick(corpus.rows())) == 37
 
 
+def test_sample_size_is_exact_and_nested(corpus):
+    picks = [{r["id"] for r in sampling.sample_sentences(corpus.rows(), n, ["id"], 4).collect()} for n in (1, 60, 999, 1000, 5000)]
+    assert [len(p) for p in picks] == [1, 60, 999, 1000, 1000]
+    assert all(a <= b for a, b in zip(picks, picks[1:]))
+
+
+def test_sampling_moves_no_rows(corpus):
+    plan = sampling.sample_sentences(corpus.rows(), 60, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Exchange hash" not in plan
+
+
 def test_left_lookup_with_hot_and_cold_keys(spark):
     rows = spark.createDataFrame([("hot" if i % 2 else f"k{i % 30}", i) for i in range(300)] + [(None, -1)], "k string, i int")
     lookup = spark.createDataFrame([("hot", 1), ("k4", 2), ("zz", 3)], "k string, v int")
