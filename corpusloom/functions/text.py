@@ -77,9 +77,18 @@ def _piece_pattern(split_digits: bool, split_scripts: bool) -> str | None:
     return rf"{WORD_MARK}?(?:{body})|(?s:.)"
 
 
-def pretokenize(text: Column, split_digits: bool = False, split_scripts: bool = False) -> Column:
-    """Marked words, optionally cut at every digit and where the script changes."""
+def pretokenize(
+    text: Column, split_digits: bool = False, split_scripts: bool = False,
+    symbols: Sequence[str] = (),
+) -> Column:
+    """Marked words, optionally cut at every digit and where the script changes.
+
+    User ``symbols`` are cut out first and left out of the result.
+    """
     words = mark_words(text)
+    if symbols:
+        parts = F.flatten(F.transform(words, lambda w: split_symbols(w, symbols)))
+        words = F.filter(parts, lambda w: ~w.isin(*symbols))
     pattern = _piece_pattern(split_digits, split_scripts)
     if pattern is None:
         return words

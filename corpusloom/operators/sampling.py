@@ -41,11 +41,7 @@ class OrderedCorpus:
 
     def rows(self, columns: Sequence[str] | None = None, cap: int | None = None) -> DataFrame:
         """Rows with ``ordinal``; with a cap only the files that hold a kept row are read."""
-        offsets, start = [], 0
-        for path, rows in self.files:
-            if cap is None or start < cap or not offsets:
-                offsets.append((path, start))
-            start += rows
+        offsets = self._offsets(cap)
         scan = self._reader.parquet(*[path for path, _ in offsets])
         picked = scan.select(
             *(columns or scan.columns),
@@ -55,8 +51,16 @@ class OrderedCorpus:
 
     def number(self, rows: DataFrame) -> DataFrame:
         """``ordinal`` of rows of these files that carry ``path`` and ``at``."""
+        return self._number(rows, self._offsets(None))
+
+    def files_below(self, cap: int | None) -> list[str]:
+        """Files that hold a row before the cap; the first file at least."""
+        return [path for path, _ in self._offsets(cap)]
+
+    def _offsets(self, cap: int | None) -> list[tuple[str, int]]:
         starts = accumulate((rows for _, rows in self.files), initial=0)
-        return self._number(rows, [(path, start) for (path, _), start in zip(self.files, starts)])
+        numbered = [(path, start) for (path, _), start in zip(self.files, starts)]
+        return [(p, at) for i, (p, at) in enumerate(numbered) if cap is None or at < cap or i == 0]
 
     def _number(self, rows: DataFrame, offsets: list[tuple[str, int]]) -> DataFrame:
         table = broadcast_if_small(self._spark.createDataFrame(offsets, _OFFSETS), len(offsets))

@@ -182,7 +182,7 @@ def _(spark, sf_dir):
 @query("export_audio")
 def _(spark, sf_dir):
     folder = scratch_path(spark, "audio")
-    written = sinks.export_audio(fx.talk_wav(spark, sf_dir), folder, "name", F.col("name"), F.col("payload"))
+    written = sinks.export_audio(fx.talk_wav(spark, sf_dir), folder, F.col("name"), F.col("payload"), ["name"])
     written.write.parquet(scratch_path(spark, "audio-log"))
     stored = spark.read.format("binaryFile").load(folder)
     return stored.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"))

@@ -95,6 +95,18 @@ def text_fallback(
     spark: SparkSession, root: str, split: str = "train", preferred: str | None = None,
     order: Sequence[str] = CORPUS_TEXT_ORDER, keep: Sequence[str] = (),
     num_files: int | None = None, positions: bool = False,
+) -> DataFrame:
+    """One ``text`` column over the first shards of a split; see :func:`text_of_files`."""
+    limit = SPLIT_SHARDS.get(split) if num_files is None else num_files
+    listing = _listing(spark, root, split)
+    if limit is not None:
+        listing = listing.filter(F.col("shard") < limit)
+    return text_of_files(spark, listing, split, preferred, order, keep, positions)
+
+
+def text_of_files(
+    spark: SparkSession, listing: DataFrame, split: str = "train", preferred: str | None = None,
+    order: Sequence[str] = CORPUS_TEXT_ORDER, keep: Sequence[str] = (), positions: bool = False,
 ) -> DataFrame:
     """One ``text`` column: the preferred name where a file has it, else the first of ``order``.
 
@@ -102,10 +114,6 @@ def text_fallback(
     are left out. One scan per chosen column name, so each scan reads a single text column.
     ``positions`` adds the file ``path`` and the row number ``at`` in it.
     """
-    limit = SPLIT_SHARDS.get(split) if num_files is None else num_files
-    listing = _listing(spark, root, split)
-    if limit is not None:
-        listing = listing.filter(F.col("shard") < limit)
     footers = listing.select("path", "shard").mapInPandas(
         _footers, "path string, shard int, names array<string>"
     )
@@ -113,20 +121,17 @@ def text_fallback(
     choice = F.coalesce(*[F.when(F.array_contains("names", c), F.lit(c)) for c in names])
     # One row per file: bounded by the listing the driver holds for any scan.
     chosen = footers.select("path", choice.alias("column")).filter("column is not null").collect()
+    index = shard_index(F.col("_metadata.file_path"), split)
+    place = (F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at"))
     scans = []
     for name in names:
         paths = sorted(r["path"] for r in chosen if r["column"] == name)
         if paths:
-            part = spark.read.parquet(*paths)
-            index = shard_index(F.col("_metadata.file_path"), split)
-            place = (
-                F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at")
-            )
-            scans.append(part.select(
+            scans.append(spark.read.parquet(*paths).select(
                 *keep, F.col(name).alias("text"), index.alias("shard"), *(place if positions else ())
             ))
     if not scans:
-        raise ValueError(f"no shard under {root} has one of {names}")
+        raise ValueError(f"no listed file has one of {names}")
     out = scans[0]
     for scan in scans[1:]:
         out = out.unionByName(scan)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -35,23 +35,24 @@ def write_manifest(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def _export(folder: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            written = [
-                bool(payload) and write_bytes(f"{folder}/{name}", payload)
-                for name, payload in zip(batch["name"], batch["payload"])
+            paths = [
+                f"{folder}/{name}" if payload and write_bytes(f"{folder}/{name}", payload) else name
+                for name, payload in zip(batch["_name"], batch["_payload"])
             ]
-            paths = [f"{folder}/{n}" if ok else n for n, ok in zip(batch["name"], written)]
-            yield pd.DataFrame({"id": batch["id"], "audio_filepath": paths, "written": written})
+            yield batch.drop(columns=["_name", "_payload"]).assign(audio_filepath=paths)
 
     return run
 
 
-def export_audio(df: DataFrame, folder: str, row_id: str, name: Column, payload: Column) -> DataFrame:
-    """Write each row's bytes to shared storage; rows without bytes keep the bare name.
+def export_audio(df: DataFrame, folder: str, name: Column, payload: Column, keep: Sequence[str]) -> DataFrame:
+    """Write each row's bytes to shared storage and return the kept columns with the path.
 
-    Each task writes its own rows. Rows that are retried write the same file again.
+    Rows without bytes, or whose file cannot be written, have the bare name as path. Each task
+    writes its own rows; rows that are retried write the same file again.
     """
-    rows = df.select(F.col(row_id).alias("id"), name.alias("name"), payload.alias("payload"))
-    schema = f"id {df.schema[row_id].dataType.simpleString()}, audio_filepath string, written boolean"
+    rows = df.select(*keep, name.alias("_name"), payload.alias("_payload"))
+    fields = [df.schema[c] for c in keep]
+    schema = T.StructType([*fields, T.StructField("audio_filepath", T.StringType())])
     return rows.mapInPandas(_export(folder), schema)
 
 

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from corpusloom.operators.stats import marked_word_counts
-from corpusloom.plans.workflow import build_vocabulary, corpus_texts, preset_options
+from corpusloom.plans.workflow import (
+    build_manifest, build_vocabulary, corpus_texts, preset_options, train_from_lines,
+)
 from corpusloom.streaming import ingest
 
 
@@ -43,3 +45,38 @@ def test_preset_workflow(spark, tmp_path):
     vocab = build_vocabulary(spark, root, f"{tmp_path}/out", vocab_size=22, model_type="bpe")
     assert vocab.count() == 22
     assert spark.read.text(f"{tmp_path}/out/tokenizer_spe_bpe_v22").count() == 22
+
+
+def test_manifest_workflow(spark, tmp_path):
+    root, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    schema = "audio struct<bytes: binary, path: string>, ayah_duration_s string, text_ar_uthmani string"
+    for k in range(2):
+        rows = [((b"x%d" % i, f"a{k}{i}.wav") if i else None, str(i) if i != 2 else "?", f"t{k}{i}") for i in range(4)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/train-{k:05d}.parquet")
+    source = next((tmp_path / "in" / "train-00000.parquet").glob("part-*.parquet"))
+    (tmp_path / "in" / "copy").mkdir()
+    (tmp_path / "in" / "copy" / "train-00000.parquet").write_bytes(source.read_bytes())
+    got = build_manifest(spark, [root], out, max_samples=6).collect()
+    assert sorted(r["text"] for r in got) == ["t00", "t01", "t02", "t03", "t10", "t11"]
+    by_text = {r["text"]: r for r in got}
+    assert by_text["t00"]["audio_filepath"] == "" and by_text["t02"]["duration"] == 0.0
+    assert by_text["t01"]["audio_filepath"] == f"{out}/audio/a01.wav"
+    assert (tmp_path / "out" / "audio" / "a11.wav").read_bytes() == b"x1"
+    assert build_manifest(spark, [root], f"{out}2", percent=50).count() == 4
+
+
+def test_options_of_line_training(spark, tmp_path):
+    lines = spark.createDataFrame([("Abab 12 [x] abab",), ("abab  ab",)], "value string")
+    vocab = train_from_lines(
+        spark, lines, str(tmp_path), "spe", 30, "bpe", user_symbols=["[x]"], control_symbols=["<c>"],
+        split_digits=True, remove_extra_whitespaces=True, max_piece_length=4, pad=True,
+    )
+    pieces = [r["piece"] for r in vocab.orderBy("id").collect()]
+    assert pieces[4:6] == ["<c>", "[x]"] and "12" not in pieces and "[" not in pieces
+    assert "abab" in pieces or "▁aba" in pieces or "▁ab" in pieces
+    assert max(map(len, pieces[6:])) <= 4 and not any("A" in p for p in pieces)
+    assert spark.read.text(f"{tmp_path}/tokenizer_spe_bpe_v30_max_4_pad").count() == len(pieces)
+    wordpiece = train_from_lines(spark, lines, str(tmp_path), vocab_size=40)
+    assert "abab" in [r["piece"] for r in wordpiece.collect()]
+    sampled = train_from_lines(spark, lines, str(tmp_path), "spe", 40, "char", sample_size=1)
+    assert sampled.count() < 20
