@@ -77,23 +77,28 @@ def _piece_pattern(split_digits: bool, split_scripts: bool) -> str | None:
     return rf"{WORD_MARK}?(?:{body})|(?s:.)"
 
 
-def pretokenize(
-    text: Column, split_digits: bool = False, split_scripts: bool = False,
+def cut_word(
+    word: Column, split_digits: bool = False, split_scripts: bool = False,
     symbols: Sequence[str] = (),
 ) -> Column:
-    """Marked words, optionally cut at every digit and where the script changes.
-
-    User ``symbols`` are cut out first and left out of the result.
-    """
-    words = mark_words(text)
+    """Segments of a marked word: cut at user symbols, which are left out, digits and scripts."""
+    parts = F.array(word)
     if symbols:
-        parts = F.flatten(F.transform(words, lambda w: split_symbols(w, symbols)))
-        words = F.filter(parts, lambda w: ~w.isin(*symbols))
+        parts = F.filter(split_symbols(word, symbols), lambda p: ~p.isin(*symbols))
     pattern = _piece_pattern(split_digits, split_scripts)
     if pattern is None:
-        return words
-    cut = lambda w: F.regexp_extract_all(w, F.lit(pattern), F.lit(0))
-    return F.flatten(F.transform(words, cut))
+        return parts
+    cut = lambda p: F.regexp_extract_all(p, F.lit(pattern), F.lit(0))
+    return F.flatten(F.transform(parts, cut)) if symbols else cut(word)
+
+
+def pretokenize(
+    text: Column, split_digits: bool = False, split_scripts: bool = False,
+    symbols: Sequence[str] = (),
+) -> Column:
+    """Marked words of a text, each cut by :func:`cut_word`."""
+    cut = lambda w: cut_word(w, split_digits, split_scripts, symbols)
+    return F.flatten(F.transform(mark_words(text), cut))
 
 
 def split_symbols(text: Column, symbols: Sequence[str]) -> Column:

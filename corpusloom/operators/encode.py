@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import bert_normalize, bert_words, collapse_whitespace
+from corpusloom.functions.text import WORD_MARK, bert_normalize, bert_words, collapse_whitespace
 from corpusloom.operators.segment import (
     UNKNOWN_PENALTY, as_bytes, best_path, join_unknown, longest_match, marked, merge_pieces, prefix_table,
 )
@@ -120,7 +120,8 @@ def _encode_udf(shared, ids: bool):
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
             yield pc.if_else(batch.is_null(), pa.scalar(None, lists.type), lists) if batch.null_count else lists
 
-    return encode
+    # Otherwise an explode of the tokens makes Spark encode every text twice, once for a filter.
+    return encode.asNondeterministic()
 
 
 def _encoded(df: DataFrame, vocab: DataFrame, model: str, text: str, ids: bool) -> Column:
@@ -147,7 +148,7 @@ def encode_ids(
 
 def decode_pieces(pieces: Column) -> Column:
     """Pieces to text: marks become spaces, the leading one is dropped."""
-    return F.regexp_replace(F.replace(F.array_join(pieces, ""), F.lit("▁"), F.lit(" ")), "^ ", "")
+    return F.regexp_replace(F.replace(F.array_join(pieces, ""), F.lit(WORD_MARK), F.lit(" ")), "^ ", "")
 
 
 def decode_with_bytes(pieces: Column) -> Column:
@@ -157,7 +158,8 @@ def decode_with_bytes(pieces: Column) -> Column:
         pieces, lambda p: F.when(is_byte(p), F.substring(p, 4, 2)).otherwise(F.hex(F.encode(p, "UTF-8")))
     )
     joined = F.decode(F.unhex(F.array_join(as_hex, "")), "UTF-8")
-    return F.regexp_replace(F.replace(joined, F.lit("▁"), F.lit(" ")), "^ ", "")
+    spelled = F.regexp_replace(F.replace(joined, F.lit(WORD_MARK), F.lit(" ")), "^ ", "")
+    return F.when(F.array_join(pieces, "").contains("<0x"), spelled).otherwise(decode_pieces(pieces))
 
 
 def decode_wordpieces(pieces: Column) -> Column:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import clean_or_null, mark_words
+from corpusloom.functions.text import (
+    bert_normalize, bert_words, clean_or_null, cut_word, mark_words, split_words,
+)
 
 
 def extraction_counters(df: DataFrame, text: str = "text", source: str = "shard") -> DataFrame:
@@ -46,6 +50,28 @@ def marked_word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     return word_counts(df, mark_words(F.col(text)))
 
 
+def recount(words: DataFrame, parts: Column) -> DataFrame:
+    """Frequency of the parts of each word, cut once per distinct word."""
+    return words.select(F.explode(parts).alias("word"), "n").groupBy("word").agg(
+        F.sum("n").alias("n")
+    )
+
+
+def segment_counts(
+    df: DataFrame, text: str = "text", split_digits: bool = False, split_scripts: bool = True,
+    symbols: Sequence[str] = (),
+) -> DataFrame:
+    """Frequency of word segments, as the subword trainers see them."""
+    words = marked_word_counts(df, text)
+    return recount(words, cut_word(F.col("word"), split_digits, split_scripts, symbols))
+
+
+def bert_word_counts(df: DataFrame, text: str = "text", lowercase: bool = True) -> DataFrame:
+    """Frequency of normalised words and punctuation signs."""
+    words = word_counts(df, split_words(F.col(text)))
+    return recount(words, bert_words(bert_normalize(F.col("word"), lowercase)))
+
+
 def char_counts(words: DataFrame) -> DataFrame:
     """Character frequencies of a word table, the word mark included."""
     return words.select(F.explode(F.split("word", "")).alias("ch"), "n").groupBy("ch").agg(

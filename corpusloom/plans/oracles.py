@@ -203,6 +203,14 @@ ORACLES: dict[str, str] = {
         r"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(word, '▁?(?:\p{Latin}+|\p{Nd}|[^\p{Latin}▁\p{Nd}]+)|(?s:.)')) "
         f"AS word FROM ({MARKED})) GROUP BY word"
     ),
+    "segment_counts": (
+        r"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(word, '▁?(?:\p{Latin}+|\p{Nd}|[^\p{Latin}▁\p{Nd}]+)|(?s:.)')) "
+        f"AS word FROM ({MARKED})) GROUP BY word"
+    ),
+    "bert_word_counts": (
+        "SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(strip_accents(lower(text)), "
+        f"'[^{WS}a-z0-9ßœæ]|[a-z0-9ßœæ]+')) AS word FROM documents) GROUP BY word"
+    ),
     "dedup_records": (
         "SELECT strlen(text) AS bytes, sha1(text) AS sha1, min(doc_id) AS doc_id, count(*) AS copies FROM documents "
         "GROUP BY strlen(text), sha1(text)"

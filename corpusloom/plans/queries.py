@@ -50,11 +50,6 @@ def numbered(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Data
     return sampling.OrderedCorpus(spark, f"{sf_dir}/{name}.parquet").rows(columns)
 
 
-def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of all documents, for CPU-heavy steps spread over the cores."""
-    return spread(docs(spark, sf_dir).select("text")).select(F.explode(F.split("text", "\n")).alias("text"))
-
-
 # Scans and sources
 
 
@@ -371,6 +366,16 @@ def _(spark, sf_dir):
     return hygiene.keep_first_records(docs(spark, sf_dir), "doc_id", "text").select("doc_id", "lang", "n_chars")
 
 
+@query("segment_counts")
+def _(spark, sf_dir):
+    return stats.segment_counts(spread(docs(spark, sf_dir).select("text")), split_digits=True)
+
+
+@query("bert_word_counts")
+def _(spark, sf_dir):
+    return stats.bert_word_counts(spread(docs(spark, sf_dir).select("text")))
+
+
 @query("manifest_validate")
 def _(spark, sf_dir):
     return manifest.manifest_validate(manifest.manifest_rejects(fx.event_manifest(spark, sf_dir)))
@@ -495,7 +500,7 @@ def char_vocab(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.word_counts(doc_lines(spark, sf_dir), tx.pretokenize(F.col("text"), split_scripts=True))
+    return stats.segment_counts(spread(docs(spark, sf_dir).select("text")))
 
 
 _TRAINED: dict[tuple[str, str, str], str] = {}
@@ -521,7 +526,7 @@ def _unigram(spark, sf_dir):
 
 
 def _wordpiece(spark, sf_dir):
-    words = stats.word_counts(spread(docs(spark, sf_dir).select("text")), tx.bert_words(tx.bert_normalize(F.col("text"))))
+    words = stats.bert_word_counts(spread(docs(spark, sf_dir).select("text")))
     return bpe.train_wordpiece(spark, words, MERGE_VOCAB)
 
 

@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.numbers import coerce_duration, head_target, run_name
-from corpusloom.functions.text import (
-    bert_normalize, bert_words, clean_or_null, collapse_whitespace, nfkc_normalize, pretokenize,
-)
+from corpusloom.functions.text import clean_or_null, collapse_whitespace, nfkc_normalize
 from corpusloom.operators.hygiene import dedup_shards
 from corpusloom.operators.manifest import audio_name
 from corpusloom.operators.sampling import OrderedCorpus, cap_rows, sample_sentences, stride_sample
-from corpusloom.operators.stats import word_counts
+from corpusloom.operators.stats import bert_word_counts, segment_counts
 from corpusloom.operators.vocab.bpe import train_bpe, train_wordpiece
 from corpusloom.operators.vocab.simple import train_char, train_word
 from corpusloom.operators.vocab.unigram import train_unigram
@@ -68,8 +66,7 @@ def corpus_texts(spark: SparkSession, root: str, options: dict[str, Any]) -> Dat
 def train(spark: SparkSession, texts: DataFrame, options: dict[str, Any]) -> DataFrame:
     """Vocabulary of a model type over clean texts."""
     model = options["model_type"]
-    lines = texts.select(F.explode(F.split("text", "\n")).alias("text"))
-    counts = word_counts(lines, pretokenize(F.col("text"), split_scripts=model in ("bpe", "unigram")))
+    counts = segment_counts(texts, split_scripts=model in ("bpe", "unigram"))
     extra = {} if model == "word" else {"coverage": options["character_coverage"]}
     return TRAINERS[model](spark, counts, options["vocab_size"], **extra)
 
@@ -108,16 +105,16 @@ def train_from_lines(
     rows = sample_sentences(lines, sample_size, list(sample_key))
     text = F.col("value")
     if tokenizer == "wpe":
-        words = word_counts(rows, bert_words(bert_normalize(text, lowercase)))
-        vocab = train_wordpiece(spark, words, vocab_size)
+        vocab = train_wordpiece(spark, bert_word_counts(rows, "value", lowercase), vocab_size)
         write_wordpiece_vocab(vocab, f"{output_dir}/{run_name('wpe', vocab_size)}")
         return vocab
     text = nfkc_normalize(text) if nfkc else text
     text = F.lower(text) if lowercase else text
     text = collapse_whitespace(text) if remove_extra_whitespaces else text
     pieces = spe_type in ("bpe", "unigram")
-    words = word_counts(
-        rows, pretokenize(text, split_digits and pieces, split_scripts and pieces, user_symbols)
+    words = segment_counts(
+        rows.select(text.alias("text")), "text", split_digits and pieces, split_scripts and pieces,
+        user_symbols,
     )
     extra: dict[str, Any] = {} if spe_type == "word" else {"coverage": coverage}
     if pieces and max_piece_length > 0:
