@@ -92,6 +92,19 @@ def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def stars(linked: np.ndarray, first: np.ndarray, second: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """(member, centre) for the components that ``linked`` makes; ``first`` and ``second`` are its row and column members."""
+    label = np.arange(n)
+    while True:  # smallest label of the neighbours until nothing changes
+        before = label.copy()
+        near = np.where(linked, label[second][None, :], n).min(axis=1, initial=n)
+        label[first] = np.minimum(label[first], near)
+        near = np.where(linked, label[first][:, None], n).min(axis=0, initial=n)
+        label[second] = np.minimum(label[second], near)
+        if (label == before).all():
+            return [(k, int(label[k])) for k in np.flatnonzero(label != np.arange(n)).tolist()]
+
+
 def links_of_block(sets: list[np.ndarray], parts: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Star edges (member, centre) of the components that the confirmed links of a block pair make.
 
@@ -109,15 +122,7 @@ def links_of_block(sets: list[np.ndarray], parts: np.ndarray, percent: int) -> l
         second = first
     common = _counts([sets[k] for k in first], [sets[k] for k in second])
     linked = 100 * common >= percent * (sizes[first][:, None] + sizes[second][None, :] - common)
-    label = np.arange(n)
-    while True:  # smallest label of the neighbours until nothing changes
-        before = label.copy()
-        near = np.where(linked, label[second][None, :], n).min(axis=1, initial=n)
-        label[first] = np.minimum(label[first], near)
-        near = np.where(linked, label[first][:, None], n).min(axis=0, initial=n)
-        label[second] = np.minimum(label[second], near)
-        if (label == before).all():
-            return [(k, int(label[k])) for k in range(n) if label[k] != k]
+    return stars(linked, first, second, n)
 
 
 def _confirm(percent: int, width: int):
