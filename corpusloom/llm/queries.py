@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import byte_bpe, chat, mixing, near_dup, url_filter
+from corpusloom.llm import byte_bpe, chat, fingerprint, mixing, near_dup, url_filter, vector_dup
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
+    "op3_embedding_near_dedup": vector_dup.op3_embedding_near_dedup,
     "op4_minhash_near_dedup": near_dup.op4_minhash_near_dedup,
+    "op5_document_fingerprints": fingerprint.op5_document_fingerprints,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_mixing": mixing.op8_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,
