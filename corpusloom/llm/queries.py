@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import byte_bpe, chat, fingerprint, mixing, near_dup, url_filter, vector_dup
+from corpusloom.llm import byte_bpe, chat, fingerprint, mixing, near_dup, toxicity, url_filter, vector_dup
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_mixing": mixing.op8_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op1_url_filters": url_filter.SQL,
