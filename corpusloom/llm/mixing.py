@@ -56,7 +56,9 @@ def water_fill(sizes: DataFrame, max_epochs: float = MAX_EPOCHS) -> DataFrame:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX_EPOCHS, seed: str = SEED, carry: list[str] = (),
+) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)`` for every document.
 
     A source with target ``t`` and size ``s`` takes each document ``floor(t / s)`` times whole. The
@@ -68,10 +70,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX
     the one bucket where the rest ends, so that a source with most of the corpus is still spread.
     ``weights`` are ``(source, weight)``; None means 5, 2, 1 repeating. Sources missing there take
     nothing. A null source is a source. Null and empty texts have size 0 and take 0. Rows with equal
-    key and source follow by size; equal rows are interchangeable. Extra columns are ignored.
+    key and source follow by size; equal rows are interchangeable. Extra columns are ignored,
+    but for those named in ``carry``, which come back in a struct ``row`` and also settle ties.
     """
     key = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    docs = store(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key")), "sizes")
+    extra = [F.struct(*carry).alias("row")] if carry else []
+    docs = store(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key"), *extra), "sizes")
     docs = docs.withColumn("bucket", F.substring("key", 1, _BUCKET_DIGITS))
     buckets = docs.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     sizes = store(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), "sources")
@@ -97,11 +101,27 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, max_epochs: int = MAX
     at_end = F.expr("end IS NOT NULL AND bucket = end")
     below = F.expr("CASE WHEN bucket < end THEN size ELSE 0 END")
     outside = rows.filter(~at_end).withColumn("extra", below)
-    order = W.partitionBy("source").orderBy("key", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    order = W.partitionBy("source").orderBy("key", "size", *(["row"] if carry else [])).rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = rows.filter(at_end).withColumn("upto", F.sum("size").over(order) + F.col("before") - F.col("size"))
     inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("upto"))))
     taken = (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken")
-    return outside.union(inside.drop("upto")).select("doc_id", "source", "size", "source_size", "target", taken)
+    return outside.union(inside.drop("upto")).select("doc_id", "source", "size", "source_size", "target", taken, *(["row"] if carry else []))
+
+
+def take(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+
+    A row that gives ``taken`` words of its ``size`` comes ``taken / size`` times whole and once more
+    with its first ``taken % size`` words, white space between them kept. Rows ride along in the mix,
+    so texts are shuffled only in the one bucket per source where its rest ends.
+    """
+    taken = mix(docs, carry=docs.columns).filter("taken > 0")
+    taken = taken.select("row", "size", "taken", F.explode(F.expr("sequence(1, cast(ceil(taken / size) AS int))")).alias("copy"))
+    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    part = F.array_join(F.slice(words, F.lit(1), left.cast("int")), "")
+    text = F.when(left < F.col("size"), part).otherwise(F.col("row.text"))
+    return taken.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

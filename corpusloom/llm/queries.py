@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import byte_bpe, chat, fingerprint, mixing, near_dup, toxicity, url_filter, vector_dup
+from corpusloom.llm import byte_bpe, chat, class_model, fingerprint, language, mixing, near_dup, toxicity, url_filter, vector_dup
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
+    "op2_class_model": class_model.op2_class_model,
     "op3_embedding_near_dedup": vector_dup.op3_embedding_near_dedup,
     "op4_minhash_near_dedup": near_dup.op4_minhash_near_dedup,
     "op5_document_fingerprints": fingerprint.op5_document_fingerprints,
+    "op6_language_id": language.op6_language_id,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_mixing": mixing.op8_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,

@@ -35,13 +35,13 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return known[:n]
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of every word of a UTF-8 text, A-Z lower-cased, in order.
+def words_and_endings(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of every word of a UTF-8 text, A-Z lower-cased, in order, and its last three bytes as a number.
 
     Each hash is a polynomial in random byte values, taken from one running sum over the text.
     """
     if not data:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint32)
     raw = _LOWER[np.frombuffer(data, np.uint8)]
     word = ~SPACE[raw]
     edges = np.flatnonzero(np.diff(np.concatenate(([False], word, [False]))))
@@ -49,7 +49,16 @@ def word_hashes(data: bytes) -> np.ndarray:
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * _power(_BASE, len(raw)), out=sums[1:])
     value = (sums[end] - sums[start]) * _power(_INVERSE, len(raw))[start]
-    return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    ending = raw[end - 1].astype(np.uint32)
+    for k in (2, 3):
+        inside = end - k >= start
+        ending[inside] |= raw[end[inside] - k].astype(np.uint32) << np.uint32(8 * (k - 1))
+    return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), ending
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """The hashes of ``words_and_endings`` alone."""
+    return words_and_endings(data)[0]
 
 
 def shingle_set(data: bytes | None, width: int) -> np.ndarray:

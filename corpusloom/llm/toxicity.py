@@ -334,6 +334,17 @@ def tag_documents(docs: DataFrame, field: Broadcast) -> DataFrame:
         f"doc_id {kind}, score double, predicted int, spans array<struct<start:int,end:int,probability:double>>")
 
 
+def filter_toxic(docs: DataFrame, field: Broadcast) -> DataFrame:
+    """The rows of ``docs`` that are not predicted as toxic; null and empty texts stay. A map without a shuffle."""
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        model = field.value
+        scores = model.scores(model.evidence([t or "" for t in batch.column("text").to_pylist()])[0])
+        return batch.filter(pa.array(scores < THRESHOLD))
+
+    return mapped(docs, keep, docs.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tagged = tag_documents(docs, fit_on(docs, table(spark, sf_dir, "labels")))
