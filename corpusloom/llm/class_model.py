@@ -27,6 +27,8 @@ TRANSITION_STRENGTH = 20.0
 # The token after each text's last word, and its class, in which it is alone.
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 END_CLASS = 0
+# Units that choose at once, units per task of a round, and the most tasks.
+_TOGETHER, UNITS_PER_TASK, MOST_TASKS = 8, 20_000, 64
 _FLUSH_TOKENS = 1 << 20
 
 
@@ -153,23 +155,54 @@ def best_classes(first: np.ndarray, slot: np.ndarray, n: np.ndarray, own: np.nda
     return gain.argmax(1)
 
 
+def smoothed(pairs: np.ndarray, left_out: float = 0.0) -> np.ndarray:
+    """Class transition probabilities, drawn to the class shares; ``left_out`` is taken off every count first."""
+    shares = (pairs.sum(0) + 1.0) / (pairs.sum() + CLASSES)
+    counts = np.maximum(pairs - left_out, 0.0) + TRANSITION_STRENGTH * shares
+    return counts / (np.maximum(pairs.sum(1, keepdims=True) - left_out, 0.0) + TRANSITION_STRENGTH)
+
+
+def likelihood(pairs: np.ndarray) -> float:
+    """What the classes add to the log-likelihood of the corpus, every token predicted without itself."""
+    columns = pairs.sum(0)
+    return float((pairs * np.log(smoothed(pairs, 1.0))).sum() - (columns * np.log(columns + 1.0)).sum())
+
+
 def exchange(counts: DataFrame, units: Broadcast, pairs: Broadcast, half: int | None) -> DataFrame:
-    """``(unit, class)`` after each unit of one half (by a hash; None: all) chose its best class."""
+    """``(unit, class)`` after every unit, or those of one half by a hash, chose its best class once.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        unit = batch.column("unit").to_numpy()
-        slots = batch.column("slots")
-        entries = slots.flatten()
-        first = slots.offsets.to_numpy()[:-1] - slots.offsets[0].as_py()
-        chosen = best_classes(
-            first, entries.field("slot").to_numpy(), entries.field("n").to_numpy().astype(float), units.value.classes[unit], pairs.value)
-        return pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(chosen.astype(np.int32))], ["unit", "class"])
+    A task takes its units a few at a time and moves their counts in its own copy of the class
+    bigrams before the next few choose, so that units alike gather in one class instead of all
+    leaving at once. Tasks do not see each other's moves; their number grows with the units.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = pairs.value.copy()
+        for batch in batches:
+            unit, slots = batch.column("unit").to_numpy(), batch.column("slots")
+            begin = slots.offsets.to_numpy() - slots.offsets[0].as_py()
+            slot, n = slots.flatten().field("slot").to_numpy(), slots.flatten().field("n").to_numpy().astype(float)
+            own, chosen = units.value.classes[unit], np.empty(len(unit), np.int32)
+            for k in range(0, len(unit), _TOGETHER):
+                few = slice(k, min(k + _TOGETHER, len(unit)))
+                low, high = begin[few.start], begin[few.stop]
+                first = begin[few] - low
+                chosen[few] = best_classes(first, slot[low:high], n[low:high], own[few], matrix)
+                sizes = np.diff(np.append(first, high - low))
+                side, at = slot[low:high] < CLASSES, slot[low:high] % CLASSES
+                for classes, sign in ((own[few], -1), (chosen[few], 1)):
+                    its = np.repeat(classes, sizes)
+                    np.add.at(matrix, (np.where(side, at, its), np.where(side, its, at)), sign * n[low:high])
+                np.maximum(matrix, 0.0, out=matrix)
+            yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(chosen)], ["unit", "class"])
 
     # At most twice ``CLASSES`` entries for each unit.
     grouped = counts.filter("unit >= 0").groupBy("unit").agg(F.collect_list(F.struct("slot", "n")).alias("slots"))
     if half is not None:
         grouped = grouped.filter(F.pmod(F.xxhash64("unit"), F.lit(2)) == half)
-    return mapped(grouped, run, "unit long, class int")
+    tasks = min(MOST_TASKS, len(units.value.classes) // UNITS_PER_TASK + 1)
+    placed = grouped.repartition(tasks, "unit").sortWithinPartitions("unit")
+    return placed.mapInArrow(run, "unit long, class int")
 
 
 @dataclass
@@ -184,8 +217,9 @@ class ClassModel:
 def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int, int, Broadcast]:
     """Word counts (stored), their sum N, their number V, and the class model, from all rows of ``train``.
 
-    Units start in classes by rank. Each round counts neighbours over the whole corpus and lets all
-    units (first round) or half of them (later) move at once to their best class.
+    Units start in classes by rank. Each round counts neighbours over the whole corpus and moves
+    every unit (later rounds: every other one) to its best class. Tasks move units unseen by each
+    other, so a round can lose: the classes of the likeliest round are kept.
     """
     spark = train.sparkSession
     words = store(count_words(train), "words")
@@ -198,22 +232,25 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int, int, Br
     rank[np.lexsort((hashes, -n))] = np.arange(len(n))
     classes = 1 + np.concatenate((rank, np.arange(ENDINGS))) % (CLASSES - 1)
     units = Units(hashes, n, classes.astype(np.int32))
+    best = None
     for k in range(rounds + 1):
         shared = spark.sparkContext.broadcast(units)
         counts = store(context_counts(train, shared), "contexts")
         pairs = _matrix(counts)
+        value = likelihood(pairs)
+        if best is None or value > best[0]:
+            best = value, shared, pairs
         if k == rounds:
             break
         moved = exchange(counts, shared, spark.sparkContext.broadcast(pairs), None if k == 0 else k % 2).toPandas()
         classes = units.classes.copy()
         classes[moved["unit"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int32)
         units = Units(hashes, n, classes)
-    shares = (pairs.sum(0) + 1.0) / (pairs.sum() + CLASSES)
-    transition = (pairs + TRANSITION_STRENGTH * shares) / (pairs.sum(1, keepdims=True) + TRANSITION_STRENGTH)
+    _, shared, pairs = best
     sizes = class_sizes(words, shared)
     emission = pairs.sum(0) + sizes + 1.0
     emission[END_CLASS] = pairs.sum(0)[END_CLASS] + 1.0
-    model = ClassModel(units, np.log10(transition), np.log10(emission))
+    model = ClassModel(shared.value, np.log10(smoothed(pairs)), np.log10(emission))
     return words, total, distinct, spark.sparkContext.broadcast(model)
 
 
