@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import byte_bpe, chat, class_model, fill_middle, fingerprint, language, mixing, near_dup, toxicity, url_filter, vector_dup
+from corpusloom.llm import byte_bpe, chat, class_model, fill_middle, fingerprint, language, mixing, near_dup, substring_dup, toxicity, url_filter, vector_dup
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_substring_dedup": substring_dup.op11_substring_dedup,
     "op13_fill_in_middle": fill_middle.op13_fill_in_middle,
 }
 ORACLES = {
     "op1_url_filters": url_filter.SQL,
     "op8_mixing": mixing.SQL,
     "op9_chat_formatting": chat.SQL,
+    "op11_substring_dedup": substring_dup.SQL,
     "op13_fill_in_middle": fill_middle.SQL,
 }
