@@ -1,9 +1,17 @@
 """Greedy pair merging as rounds of Spark jobs over a word table.
 
-The word table stays on the cluster. The driver holds counts of the most frequent pairs, at most
-``TRACKED_PAIRS`` of them, and picks in each round a batch of merges that gives the same result as
-one merge at a time. One job per round applies the batch, returns the change of the pair counts and
-which of the next candidates share a symbol somewhere.
+The word table stays on the cluster, in blocks with an inverted index from pairs to words. The driver
+holds counts of the first ``TRACKED_PAIRS`` pairs in rank order and picks in each round a batch of
+merges that gives the same result as one merge at a time. One job per round applies the batch to the
+words that hold its pairs, returns the change of the pair counts and which of the next candidates
+share a symbol somewhere.
+
+The index is that of the last rewrite of the table. A pair with a symbol learned since then can only be
+in words that held the pair this symbol came from, so these are looked up; merges since the rewrite
+are applied to the words found, never to the others.
+
+Pairs beyond the tracked ones rank after the last of them by count, length and piece, also where
+counts are tied, and never move up; when the tracked ones are used up they are counted again.
 
 Why a batch is exact. Merging (a, b) changes only pairs that share the middle symbol of an actual
 ``x a b`` or ``a b y``. New pairs made there never occur more often than the old pair they replace.
@@ -20,17 +28,18 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.vocab.symbols import (
-    CODE_POINTS, Batch, advance, blocks, in_one, pack, records, spell, summed, unpack,
+    CODE_POINTS, Batch, IndexedBlock, advance, in_one, indexed, pack, records, spell, summed, unpack,
 )
 from corpusloom.session import drop_path, scratch_path, spread_words
 
 TRACKED_PAIRS = 200_000
 WATCHED_PAIRS = 384
-ROUNDS_PER_TABLE = 16
+ROUNDS_PER_TABLE = 32
 WORDS_PER_PARTITION = 25_000
 # Up to this many tasks send their sums to the driver without a shuffle in between.
 FEW_TASKS = 32
@@ -59,7 +68,8 @@ class _Ranking:
     counts: dict[int, int] = field(default_factory=dict)
     heap: list = field(default_factory=list)
     known: set[str] = field(default_factory=set)
-    floor: int = 0
+    # Count, length and piece of the last tracked pair; None if all pairs are tracked.
+    floor: tuple[int, int, str] | None = None
 
     def name(self, symbol: int) -> str:
         known = self.names.get(symbol)
@@ -129,7 +139,7 @@ def _select(ranking: _Ranking, want: int, measured: set[int], overlapping: set)
     batch, pieces, blocked = [], set(), []
     for entry in found:
         count, code = -entry[0], entry[3]
-        if ranking.floor and count <= ranking.floor:
+        if ranking.floor and entry[:3] > ranking.floor:
             break
         if chosen.met_by(code):
             break
@@ -176,6 +186,7 @@ class MergeTrainer:
         self.merges: list[tuple[str, int]] = []
         self.rounds = 0
         self._pending: list[Batch] = []
+        self._origin: dict[int, int] = {}
         self._next = 2 * CODE_POINTS
         self._path: str | None = None
         self._rows = 0
@@ -192,16 +203,17 @@ class MergeTrainer:
         self._store(words.select("word", "n").mapInArrow(spelled, _STATE))
 
     def _store(self, state: DataFrame) -> None:
-        """Write the word table to the shared folder and cache it; a lost executor reads it again."""
+        """Write the word table to the shared folder and cache its indexed blocks; a lost executor makes its own again."""
         path = scratch_path(self.spark, "merge-state")
         state.write.parquet(path)
         stored = self.spark.read.schema(_STATE).parquet(path)
         self._rows = self._rows or stored.count()
         stored = spread_words(stored, self._rows, WORDS_PER_PARTITION)
         old_state, old_path = self._state, self._path
-        self._state, self._path, self._pending = stored.persist(), path, []
+        blocks = stored.mapInArrow(indexed(2 * WORDS_PER_PARTITION), IndexedBlock.SCHEMA)
+        self._state, self._path, self._pending, self._origin = blocks.persist(), path, [], {}
+        self._state.count()
         if old_state is not None:
-            self._state.count()
             old_state.unpersist()
             drop_path(self.spark, old_path)
 
@@ -210,49 +222,83 @@ class MergeTrainer:
         pending = self._pending
 
         def apply(batches):
-            for block in blocks(batches):
-                yield advance(block, pending).to_arrow()
+            for block in IndexedBlock.read(batches):
+                yield advance(block.whole(), pending).to_arrow()
 
         self._store(self._state.mapInArrow(apply, _STATE))
 
+    def _indexed_pair(self, code: int) -> int:
+        """A pair of the index that every word with this pair held when the index was made."""
+        left, right = unpack(code)
+        return self._origin.get(left, self._origin.get(right, code))
+
     def _count_pairs(self) -> None:
-        """Track the most frequent pairs, of those short enough to merge, from a full count."""
-        pending, longest = self._pending, self.options.max_length
-        learned = [self.ranking.names[s] for s in range(2 * CODE_POINTS, self._next)]
-        sizes = np.array([1, *map(self.ranking.length, learned)], np.int64)
+        """Track the first pairs in rank order, of those that may be merged, from a full count."""
+        longest, ranking = self.options.max_length, self.ranking
+        names = {s: ranking.names[s] for s in range(2 * CODE_POINTS, self._next)}
+        sizes = np.array([1, *map(ranking.length, names.values())], np.int64)
+        known = ranking.known if self.options.skip_known_pieces else set()
+        ranker = _Ranking(self.options, names)
 
         def size(symbols):
             return sizes[np.maximum(symbols - 2 * CODE_POINTS + 1, 0)]
 
         def count(batches):
-            parts = [advance(block, pending).pair_weights() for block in blocks(batches)]
-            codes, values = in_one(parts)
+            codes, values = in_one([block.whole().pair_weights() for block in IndexedBlock.read(batches)])
             short = size(codes >> 32) + size(codes & 0xFFFFFFFF) <= longest
             yield records(_DELTA, codes[short], values[short])
 
-        totals = self._state.mapInArrow(count, _CHANGES).groupBy("first", "second").agg(
-            F.sum("value").alias("value")
-        )
-        rows = totals.orderBy(F.desc("value"), "first", "second").limit(TRACKED_PAIRS).collect()
-        ranking = self.ranking
-        ranking.counts, ranking.heap = {}, []
-        ranking.floor = rows[-1]["value"] if len(rows) == TRACKED_PAIRS else 0
+        def named(batches):
+            for batch in batches:
+                pairs = zip(batch.column("first").to_pylist(), batch.column("second").to_pylist())
+                pieces = [ranker.piece(pack(*pair)) for pair in pairs]
+                new = pa.array([p not in known for p in pieces])
+                lengths = pa.array([ranker.length(p) for p in pieces], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, lengths, pa.array(pieces, pa.string()), new],
+                    ["first", "second", "value", "length", "piece", "new"])
+
+        totals = self._state.mapInArrow(count, _CHANGES).groupBy("first", "second").agg(F.sum("value").alias("value"))
+        totals = totals.filter(F.col("value") >= self.options.min_count)
+        path = scratch_path(self.spark, "pair-counts")
+        totals.write.parquet(path)
+        totals = self.spark.read.schema("first int, second int, value long").parquet(path)
+        every, wide, rows = totals.count(), TRACKED_PAIRS, []
+        while not rows and every:
+            # Only pairs as frequent as the last one that may be tracked need names to be ranked.
+            edge = totals.orderBy(F.desc("value")).limit(wide).agg(F.min("value")).first()[0] if every > wide else 0
+            ranked = totals.filter(F.col("value") >= edge).mapInArrow(
+                named, "first int, second int, value long, length int, piece string, new boolean")
+            ranked = ranked.filter("new").orderBy(F.desc("value"), "length", "piece").limit(TRACKED_PAIRS)
+            rows = ranked.select("first", "second", "value", "length", "piece").toArrow().to_pylist()
+            if every <= wide:
+                break
+            wide *= 4  # all of these spell pieces that are known
+        drop_path(self.spark, path)
+        ranking.counts, ranking.heap, ranking.floor = {}, [], None
+        if len(rows) == TRACKED_PAIRS:
+            ranking.floor = -rows[-1]["value"], rows[-1]["length"], rows[-1]["piece"]
+        elif every and edge:
+            ranking.floor = -edge, 1 << 30, ""
         for row in rows:
             ranking.set_count(pack(row["first"], row["second"]), row["value"])
 
-    def _run_round(self, watched: np.ndarray) -> tuple[tuple, set[tuple[int, int]]]:
-        """Apply the newest batch on the cluster; pair count changes and watched overlaps."""
+    def _run_round(self, watched: np.ndarray, fresh: np.ndarray) -> tuple[tuple, set[tuple[int, int]]]:
+        """Apply the newest batch on the cluster; pair count changes, and overlaps of ``fresh`` watched pairs with others."""
         earlier, newest = self._pending[:-1], self._pending[-1]
+        changed, looked_at = (
+            np.unique(np.array([self._indexed_pair(c) for c in codes.tolist()], np.int64)) for codes in (newest[0], fresh))
 
         def step(batches):
             changes, shared = [], []
-            for block in blocks(batches):
-                before = advance(block, earlier)
+            for block in IndexedBlock.read(batches):
+                before = advance(block.take(block.holding(changed)), earlier)
                 after, touched = before.merged(newest)
                 if touched.any():
                     gained, lost = after.only(touched).pair_weights(), before.only(touched).pair_weights()
                     changes += [gained, (lost[0], -lost[1])]
-                shared.append(after.overlaps(watched))
+                near = advance(block.take(block.holding(looked_at)), [*earlier, newest])
+                shared.append(near.overlaps(watched))
             codes, values = in_one(changes)
             yield records(_DELTA, codes[values != 0], values[values != 0])
             pairs = np.unique(np.concatenate(shared)) if shared else np.empty(0, np.int64)
@@ -285,7 +331,7 @@ class MergeTrainer:
                     break
                 self._restore()
                 self._count_pairs()
-                if not _select(ranking, 1, measured, overlapping):
+                if not ranking.heap:
                     break
                 continue
             first_new = self._next
@@ -295,6 +341,8 @@ class MergeTrainer:
                 self.merges.append((entry[2], -entry[0]))
                 self._next += 1
             codes = np.array([e[3] for e in batch], np.int64)
+            for symbol, code in zip(range(first_new, self._next), codes.tolist()):
+                self._origin[symbol] = self._indexed_pair(code)
             order = np.argsort(codes)
             self._pending.append((codes[order], np.arange(first_new, self._next)[order]))
             if len(self.merges) >= wanted:
@@ -305,14 +353,18 @@ class MergeTrainer:
             watched = np.sort(np.array(
                 [e[3] for e in ranking.best(WATCHED_PAIRS) if e[3] not in done], np.int64
             ))
-            changes, overlapping = self._run_round(watched)
+            # Of pairs measured before, no new overlap can arise. Some may be gone: seen once per rewrite.
+            again = len(self._pending) == 1
+            fresh = watched if again else np.array([c for c in watched.tolist() if c not in measured], np.int64)
+            changes, found = self._run_round(watched, fresh)
             measured = set(watched.tolist())
+            overlapping = found if again else found | {o for o in overlapping if o[0] in measured and o[1] in measured}
             for code, value in zip(changes[0].tolist(), changes[1].tolist()):
                 left, right = unpack(code)
                 if code in done:
                     continue
                 newborn = left >= first_new or right >= first_new
-                if newborn and value > 0 and value >= ranking.floor:
+                if newborn and value > 0 and (not ranking.floor or value >= -ranking.floor[0]):
                     ranking.set_count(code, value)
                 elif not newborn and code in ranking.counts:
                     ranking.set_count(code, ranking.counts[code] + value)

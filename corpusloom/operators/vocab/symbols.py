@@ -29,6 +29,12 @@ def unpack(code: int) -> tuple[int, int]:
     return code >> 32, code & _LOW
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers from each start up to its end, one range after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class Block:
     """Symbols of many words, end to end, with the word each belongs to."""
 
@@ -107,6 +113,64 @@ class Block:
         return np.unique((first << 32) | second)
 
 
+class IndexedBlock:
+    """Words of a block with an inverted index from each pair to the words that hold it.
+
+    One row of binary columns, so that a task reads it without parsing.
+    """
+
+    COLUMNS = {"symbols": np.int32, "ends": np.int64, "n": np.int64, "pairs": np.int64, "starts": np.int64, "words": np.int32}
+    SCHEMA = ", ".join(f"{name} binary" for name in COLUMNS)
+
+    def __init__(self, **arrays: np.ndarray):
+        self.symbols, self.ends, self.n = arrays["symbols"], arrays["ends"], arrays["n"]
+        self.pairs, self.starts, self.words = arrays["pairs"], arrays["starts"], arrays["words"]
+
+    @classmethod
+    def of(cls, block: Block) -> IndexedBlock:
+        codes = block.pairs()
+        at = np.flatnonzero(codes >= 0)
+        code, word = codes[at], block.word[at]
+        order = np.argsort(code, kind="stable")  # words stay in order
+        code, word = code[order], word[order]
+        new = np.ones(len(code), bool)
+        new[1:] = (code[1:] != code[:-1]) | (word[1:] != word[:-1])
+        code, word = code[new], word[new]
+        pairs, starts = np.unique(code, return_index=True)
+        ends = np.cumsum(np.bincount(block.word, minlength=len(block.weight)))
+        return cls(symbols=block.symbols, ends=ends, n=block.weight, pairs=pairs, starts=np.append(starts, len(code)), words=word)
+
+    @classmethod
+    def read(cls, batches: Iterable[pa.RecordBatch]) -> Iterator[IndexedBlock]:
+        """The blocks of a task."""
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield cls(**{
+                    name: np.frombuffer(batch.column(name)[row].as_buffer(), kind) for name, kind in cls.COLUMNS.items()})
+
+    def to_arrow(self) -> pa.RecordBatch:
+        columns = [np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in self.COLUMNS.items()]
+        return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], list(self.COLUMNS))
+
+    def holding(self, pairs: np.ndarray) -> np.ndarray:
+        """The words that hold one of the pairs, ascending."""
+        if not len(self.pairs):
+            return np.empty(0, np.int64)
+        slot = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        slot = slot[self.pairs[slot] == pairs]
+        return np.unique(self.words[ranges(self.starts[slot], self.starts[slot + 1])]).astype(np.int64)
+
+    def take(self, words: np.ndarray) -> Block:
+        """Some of the words, numbered anew."""
+        ends = self.ends[words]
+        starts = np.where(words > 0, self.ends[words - 1], 0)
+        symbols = self.symbols[ranges(starts, ends)].astype(np.int64)
+        return Block(symbols, np.repeat(np.arange(len(words)), ends - starts), self.n[words])
+
+    def whole(self) -> Block:
+        return self.take(np.arange(len(self.n)))
+
+
 def summed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values added up per code."""
     distinct, where = np.unique(codes, return_inverse=True)
@@ -156,8 +220,21 @@ def in_one(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return summed(np.concatenate([c for c, _ in parts]), np.concatenate([v for _, v in parts]))
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-    """Non-empty blocks of a task."""
-    for batch in batches:
-        if batch.num_rows:
-            yield Block.of_arrow(batch)
+def indexed(most_words: int):
+    """A map from rows of words to indexed blocks of at most so many words, and a batch more."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= most_words:
+                yield IndexedBlock.of(_joined(held)).to_arrow()
+                held = []
+        if sum(b.num_rows for b in held):
+            yield IndexedBlock.of(_joined(held)).to_arrow()
+
+    return run
+
+
+def _joined(batches: list[pa.RecordBatch]) -> Block:
+    return Block.of_arrow(pa.Table.from_batches(batches).combine_chunks().to_batches()[0])

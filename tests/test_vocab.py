@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from corpusloom.operators.stats import word_counts
 from corpusloom.operators.vocab import merges as mg
 from corpusloom.operators.vocab import simple, table as vt
 from corpusloom.operators.vocab.bpe import train_bpe, train_wordpiece
+from corpusloom.operators.vocab.symbols import IndexedBlock, spell
 from corpusloom.operators.vocab.unigram import train_unigram
 
 spm = pytest.importorskip("sentencepiece")
@@ -137,6 +139,33 @@ def test_batched_merges_equal_one_by_one(spark, monkeypatch, seed, tracked):
     assert [tuple(g) for g in got] == one_by_one(table.items(), 30, 6)
 
 
+@pytest.mark.parametrize("tracked", [1, 3])
+def test_ties_wider_than_the_tracked_pairs(spark, monkeypatch, tracked):
+    monkeypatch.setattr(mg, "TRACKED_PAIRS", tracked)
+    table = [(a + b, 5) for a, b in zip("abcdefghij", "klmnopqrst")]
+    words = spark.createDataFrame(table, "word string, n long")
+    got = mg.learn_merges(spark, words, 20, mg.MergeOptions())
+    assert [tuple(g) for g in got] == one_by_one(table, 20) and len(got) == 10
+    table = [("abab", 2), ("ab", 3), ("aab", 5), ("ba", 5), ("abba", 5)]
+    words = spark.createDataFrame(table, "word string, n long")
+    assert [tuple(g) for g in mg.learn_merges(spark, words, 20, mg.MergeOptions())] == one_by_one(table, 20)
+
+
+def test_rounds_touch_only_words_of_their_pairs():
+    rng = random.Random(1)
+    words = np.array(["".join(rng.choices("abcd", k=rng.randrange(0, 9))) for _ in range(300)], object)
+    plain = spell(words, np.arange(len(words)), None)
+    index = IndexedBlock.of(plain)
+    index = next(IndexedBlock.read([index.to_arrow()]))
+    for pair in ("ab", "cc", "dz"):
+        code = np.array([(ord(pair[0]) << 32) | ord(pair[1])])
+        held = index.holding(code)
+        assert [words[w] for w in held] == [w for w in words if pair in w]
+        taken = index.take(held)
+        assert "".join(map(chr, taken.symbols)) == "".join(words[held]) and taken.weight.tolist() == held.tolist()
+    assert (index.whole().symbols == plain.symbols).all() and (index.whole().word == plain.word).all()
+
+
 def test_merges_run_out_softly_or_fail(spark):
     words = spark.createDataFrame([("aaaa", 1), ("abab", 1), ("b", 3)], "word string, n long")
     vocab = train_bpe(spark, words, 100, 1.0)
