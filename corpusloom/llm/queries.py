@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import byte_bpe, chat, class_model, fill_middle, fingerprint, language, mixing, near_dup, substring_dup, toxicity, url_filter, vector_dup
+from corpusloom.llm import byte_bpe, chat, class_model, fill_middle, fingerprint, language, mixing, near_dup, substring_dup, toxicity, turn_repair, url_filter, vector_dup
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_substring_dedup": substring_dup.op11_substring_dedup,
+    "op12_conversation_repair": turn_repair.op12_conversation_repair,
     "op13_fill_in_middle": fill_middle.op13_fill_in_middle,
 }
 ORACLES = {
@@ -23,5 +24,6 @@ ORACLES = {
     "op8_mixing": mixing.SQL,
     "op9_chat_formatting": chat.SQL,
     "op11_substring_dedup": substring_dup.SQL,
+    "op12_conversation_repair": turn_repair.SQL,
     "op13_fill_in_middle": fill_middle.SQL,
 }
