@@ -9,25 +9,26 @@ from urllib.parse import unquote
 from pyarrow import fs
 
 
+# Store names that differ between Hadoop and Arrow.
+_ALIASES = {"s3a": "s3", "s3n": "s3"}
+
+
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and inner path of a plain path, a ``file:`` URI or a store URI."""
+    """File system and inner path of a plain path, a ``file:`` URI or a store URI; an unknown store raises."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + unquote(path[5:]).lstrip("/")
-    if re.match(r"^[a-zA-Z][\w+.-]*://", path):
-        return fs.FileSystem.from_uri(path)
+    if found := re.match(r"^([a-zA-Z][\w+.-]*)://", path):
+        scheme = found[1].lower()
+        return fs.FileSystem.from_uri(_ALIASES.get(scheme, scheme) + path[len(found[1]):])
     return fs.LocalFileSystem(), path
 
 
-def write_bytes(path: str, payload: bytes) -> bool:
-    """Write one file; ``False`` when the target cannot be written."""
-    try:
-        store, inner = resolve(path)
-        store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        with store.open_output_stream(inner) as out:
-            out.write(payload)
-        return True
-    except OSError:
-        return False
+def write_bytes(path: str, payload: bytes) -> None:
+    """Write one small file."""
+    store, inner = resolve(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(inner) as out:
+        out.write(payload)
 
 
 def prefix_sha1(path: str, size: int) -> str | None:

@@ -19,9 +19,10 @@ from corpusloom.operators.vocab.bpe import train_bpe, train_wordpiece
 from corpusloom.operators.vocab.simple import train_char, train_word
 from corpusloom.operators.vocab.unigram import train_unigram
 from corpusloom.sources.schema import DURATION, MANIFEST_TEXT_ORDER, SPLIT_SHARDS
+from corpusloom.sources.audio_files import export_audio
 from corpusloom.sources.shards import find_shards, text_fallback, text_of_files
 from corpusloom.sources.sinks import (
-    export_audio, write_manifest, write_run_manifest, write_vocab, write_wordpiece_vocab,
+    write_manifest, write_run_manifest, write_vocab, write_wordpiece_vocab,
 )
 from corpusloom.sources.text import read_manifest
 

@@ -1,16 +1,13 @@
-"""Writers: corpus lines, manifests, audio files, run and shard records, vocabularies."""
+"""Writers: corpus lines, manifests, run and shard records, vocabularies."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.files import write_bytes
 from corpusloom.functions.text import clean_or_null
 
 
@@ -32,30 +29,6 @@ def write_manifest(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
     rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def _export(folder: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            paths = [
-                f"{folder}/{name}" if payload and write_bytes(f"{folder}/{name}", payload) else name
-                for name, payload in zip(batch["_name"], batch["_payload"])
-            ]
-            yield batch.drop(columns=["_name", "_payload"]).assign(audio_filepath=paths)
-
-    return run
-
-
-def export_audio(df: DataFrame, folder: str, name: Column, payload: Column, keep: Sequence[str]) -> DataFrame:
-    """Write each row's bytes to shared storage and return the kept columns with the path.
-
-    Rows without bytes, or whose file cannot be written, have the bare name as path. Each task
-    writes its own rows; rows that are retried write the same file again.
-    """
-    rows = df.select(*keep, name.alias("_name"), payload.alias("_payload"))
-    fields = [df.schema[c] for c in keep]
-    schema = T.StructType([*fields, T.StructField("audio_filepath", T.StringType())])
-    return rows.mapInPandas(_export(folder), schema)
-
-
 def shard_record(inventory: DataFrame, header: dict[str, Any]) -> DataFrame:
     """One row: selection header and the nested list of shards.
 
