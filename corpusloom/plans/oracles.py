@@ -134,6 +134,11 @@ ORACLES: dict[str, str] = {
     "shard_inventory": f"SELECT {SHARD_NAME} AS shard, count(*) AS rows FROM ({SHARDED}) GROUP BY shard",
     "find_shards": f"SELECT DISTINCT {SHARD_NAME} AS shard, true AS has_bytes FROM ({SHARDED})",
     "incremental_ingest": f"SELECT doc_id, {strip('text')} AS text FROM documents WHERE {strip('text')} <> ''",
+    "incremental_ingest_sampled": (
+        f"SELECT doc_id, {strip('text')} AS text, ordinal FROM "
+        "(SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, count(*) OVER () AS total FROM documents) "
+        f"WHERE ordinal < total * 3 // 4 AND ordinal % 2 = 0 AND {strip('text')} <> ''"
+    ),
     "incremental_word_counts": WORD_TABLE,
     "progress_counters": (
         f"SELECT count(*) AS rows_read, count(*) FILTER ({strip('text')} <> '') AS lines_kept FROM documents"
@@ -149,6 +154,14 @@ ORACLES: dict[str, str] = {
     ),
     "write_manifest": f"SELECT audio_filepath, duration, text FROM ({TALK})",
     "export_audio": "SELECT 'c' || conv_id || '_' || turn || '.wav' AS name, 44 + strlen(text) AS bytes FROM conversations",
+    "export_audio_report": (
+        "WITH named AS (SELECT conv_id, turn, turn <> 4 AND text <> '' AS given, sha256(text) AS sha, "
+        "CASE WHEN turn = 5 THEN '../x.wav' ELSE role || '/c' || conv_id % 17 || '.wav' END AS file FROM conversations), "
+        "counted AS (SELECT *, count(*) FILTER (given) OVER (PARTITION BY file) AS n, "
+        "min(sha) FILTER (given) OVER (PARTITION BY file) AS first FROM named) "
+        "SELECT conv_id, turn, CASE WHEN given THEN n ELSE 0 END AS copies, CASE WHEN NOT given THEN 'no_bytes' "
+        "WHEN turn = 5 THEN 'bad_name' WHEN sha = first THEN 'written' ELSE 'duplicate' END AS status, file FROM counted"
+    ),
     "write_shard_manifest": (
         "SELECT 'train' AS split, 50.0 AS percent, 5 AS total_shards_for_split, 3 AS requested_shards, "
         f"3 AS downloaded_files, {SHARD_NAME} AS shard, count(*) AS rows, 'local' AS source "

@@ -14,9 +14,9 @@ from corpusloom.operators.vocab import bpe, simple, table as vt, unigram
 from corpusloom.plans import fixtures as fx
 from corpusloom.plans import workflow
 from corpusloom.session import scratch_path, ship_package, spread
-from corpusloom.sources import schema, shards, sinks
+from corpusloom.sources import audio_files, schema, shards, sinks
 from corpusloom.sources import text as readers
-from corpusloom.streaming import ingest
+from corpusloom.streaming import ingest, ledger, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,6 +124,17 @@ def _(spark, sf_dir):
     return spark.read.schema("doc_id long, text string").parquet(target)
 
 
+@query("incremental_ingest_sampled")
+def _(spark, sf_dir):
+    """One cap and one stride over all shards, which arrive one by one."""
+    root, target, entries = fx.named_shards(spark, sf_dir), scratch_path(spark, "ingest"), scratch_path(spark, "ledger")
+    cap = fx.table(spark, sf_dir, "documents").count() * 3 // 4
+    rows = ingest.stream_shards(spark, root, DOCUMENT_SCHEMA, files_per_batch=1)
+    done = ledger.ordinal_ingest(rows, target, entries, scratch_path(spark, "stream"), percent=40, max_samples=cap)
+    done.awaitTermination()
+    return spark.read.schema("doc_id long, text string, ordinal long").parquet(target).select("doc_id", "text", "ordinal")
+
+
 @query("incremental_word_counts")
 def _(spark, sf_dir):
     root, target = fx.named_shards(spark, sf_dir), scratch_path(spark, "counts")
@@ -137,9 +148,15 @@ def _(spark, sf_dir):
     root = fx.named_shards(spark, sf_dir)
     rows = ingest.stream_shards(spark, root, DOCUMENT_SCHEMA, files_per_batch=2)
     watched = ingest.with_progress(rows, tx.clean_or_null(F.col("text")))
-    done = ingest.incremental_ingest(watched.select("doc_id"), scratch_path(spark, "ingest"), scratch_path(spark, "stream"))
-    done.awaitTermination()
-    seen = spark.createDataFrame(ingest.progress_counters(done), "batch long, rows_read long, lines_kept long")
+    reports = scratch_path(spark, "progress")
+    listener = progress.ProgressTable(spark, reports)
+    spark.streams.addListener(listener)
+    try:
+        done = ingest.incremental_ingest(watched.select("doc_id"), scratch_path(spark, "ingest"), scratch_path(spark, "stream"))
+        listener.await_reports(done)
+    finally:
+        spark.streams.removeListener(listener)
+    seen = ingest.progress_counters(spark, reports)
     return seen.agg(F.sum("rows_read").alias("rows_read"), F.sum("lines_kept").alias("lines_kept"))
 
 
@@ -177,12 +194,24 @@ def _(spark, sf_dir):
 @query("export_audio")
 def _(spark, sf_dir):
     folder = scratch_path(spark, "audio")
-    written = sinks.export_audio(fx.talk_wav(spark, sf_dir), folder, F.col("name"), F.col("payload"), ["name"])
-    written.write.parquet(scratch_path(spark, "audio-log"))
+    audio_files.export_audio(fx.talk_wav(spark, sf_dir), folder, F.col("name"), F.col("payload"), ["name"])
     stored = spark.read.format("binaryFile").load(folder)
     return stored.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"))
 
 
+@query("export_audio_report")
+def _(spark, sf_dir):
+    """Turns that share file names, some without bytes or with a name no file can have."""
+    turns = fx.table(spark, sf_dir, "conversations")
+    name = F.when(F.col("turn") == 5, F.lit("../x.wav")).otherwise(
+        F.format_string("%s/c%d.wav", F.col("role"), F.col("conv_id") % 17))
+    payload = F.when(F.col("turn") != 4, F.encode("text", "UTF-8"))
+    report = audio_files.export_audio(turns, scratch_path(spark, "audio"), name, payload, ["conv_id", "turn"])
+    short = F.when(F.col("status").isin("no_bytes", "bad_name"), F.col("audio_filepath")).otherwise(
+        F.regexp_extract("audio_filepath", "([^/]*/[^/]*)$", 1))
+    return report.select("conv_id", "turn", "copies", "status", short.alias("file"))
+
+
 @query("write_shard_manifest")
 def _(spark, sf_dir):
     path = scratch_path(spark, "record")

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.functions.numbers import stride_of
 from corpusloom.functions.text import clean_or_null, mark_words
+from corpusloom.streaming.progress import progress_rows
 
 
 def stream_shards(
@@ -25,7 +26,7 @@ def stream_shards(
 def clean_stream(rows: DataFrame, text: str = "text", percent: float = 100.0) -> DataFrame:
     """Stripped, non-empty lines; the stride counts rows within each file.
 
-    A row number over all files would need an order of arrival, which a stream does not have.
+    For one stride and a cap over all files see :func:`corpusloom.streaming.ledger.ordinal_ingest`.
     """
     if percent < 100:
         rows = rows.filter(F.col("_metadata.row_index") % stride_of(percent) == 0)
@@ -75,11 +76,9 @@ def with_progress(rows: DataFrame, kept: Column, name: str = "progress") -> Data
     )
 
 
-def progress_counters(query: StreamingQuery, name: str = "progress") -> list[tuple[int, int, int]]:
-    """(batch, rows read, lines kept) of the micro-batches of a query."""
-    found = []
-    for progress in query.recentProgress:
-        metrics = progress.observedMetrics.get(name)
-        if metrics is not None:
-            found.append((progress.batchId, metrics["rows_read"], metrics["lines_kept"]))
-    return found
+COUNTERS = "rows_read long, lines_kept long"
+
+
+def progress_counters(spark: SparkSession, path: str) -> DataFrame:
+    """``(query, batch, rows_read, lines_kept)`` of every micro-batch that a :class:`ProgressTable` stored."""
+    return progress_rows(spark, path, COUNTERS)

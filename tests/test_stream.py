@@ -1,12 +1,18 @@
 """Incremental jobs: exactly once over several runs, equal to batch at the end."""
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from corpusloom.operators.sampling import OrderedCorpus, cap_rows, stride_sample
 from corpusloom.operators.stats import marked_word_counts
 from corpusloom.plans.workflow import (
     build_manifest, build_vocabulary, corpus_texts, preset_options, train_from_lines,
 )
-from corpusloom.streaming import ingest
+from corpusloom.streaming import ingest, ledger
+from corpusloom.streaming.progress import ProgressTable
 
 
 def put(spark, root, k, texts):
@@ -14,25 +20,110 @@ def put(spark, root, k, texts):
 
 
 def test_new_shards_are_read_once(spark, tmp_path):
-    root, out, table = (f"{tmp_path}/{n}" for n in ("in", "out", "table"))
+    root, out, table, reports = (f"{tmp_path}/{n}" for n in ("in", "out", "table", "reports"))
     put(spark, root, 0, [" a b ", "", "b"])
+    listener = ProgressTable(spark, reports)
+    spark.streams.addListener(listener)
 
     def run():
         rows = ingest.stream_shards(spark, root, "text string")
         watched = ingest.with_progress(rows, F.nullif(F.btrim("text"), F.lit("")))
-        query = ingest.incremental_ingest(ingest.clean_stream(watched), out, f"{tmp_path}/c1")
-        query.awaitTermination()
+        listener.await_reports(ingest.incremental_ingest(ingest.clean_stream(watched), out, f"{tmp_path}/c1"))
         ingest.incremental_word_counts(rows, table, f"{tmp_path}/c2").awaitTermination()
-        return [(r, k) for _, r, k in ingest.progress_counters(query)]
+        seen = ingest.progress_counters(spark, reports).orderBy("batch").collect()
+        return [(r["rows_read"], r["lines_kept"]) for r in seen]
 
+    assert ingest.progress_counters(spark, reports).count() == 0
     assert run() == [(3, 2)]
     put(spark, root, 1, ["a", None])
-    run()
+    assert run() == [(3, 2), (2, 1)]
+    spark.streams.removeListener(listener)
     assert sorted(r["text"] for r in spark.read.schema("text string").parquet(out).collect()) == ["a", "a b", "b"]
     batch = marked_word_counts(spark.read.parquet(f"{root}/train-*.parquet").filter("text is not null"))
     assert sorted(ingest.word_count_table(spark, table).collect()) == sorted(batch.collect())
 
 
+def test_every_batch_is_reported(spark, tmp_path):
+    """More micro-batches than a query remembers."""
+    root, reports = tmp_path / "in", f"{tmp_path}/reports"
+    root.mkdir()
+    for k in range(131):
+        pq.write_table(pa.table({"text": [f"line {k}"]}), root / f"train-{k:05d}.parquet")
+    listener = ProgressTable(spark, reports)
+    spark.streams.addListener(listener)
+    rows = ingest.stream_shards(spark, str(root), "text string", files_per_batch=1)
+    watched = ingest.with_progress(rows, F.col("text"))
+    query = ingest.incremental_ingest(watched, f"{tmp_path}/out", f"{tmp_path}/c")
+    listener.await_reports(query)
+    spark.streams.removeListener(listener)
+    seen = ingest.progress_counters(spark, reports)
+    assert seen.count() == seen.select("batch").distinct().count() == 131
+    assert seen.agg(F.sum("rows_read"), F.sum("lines_kept")).first()[:] == (131, 131)
+
+
+def shards_of(folder, sizes):
+    folder.mkdir()
+    n = 0
+    for k, size in enumerate(sizes):
+        texts = [f" row {n + i} " if (n + i) % 5 else " " for i in range(size)]
+        pq.write_table(pa.table({"text": texts}), folder / f"train-{k:05d}.parquet")
+        n += size
+
+
+def batch_result(spark, root, percent, cap):
+    rows = cap_rows(OrderedCorpus(spark, f"{root}/train-*.parquet").rows(["text"]), cap)
+    return sorted((r["ordinal"], r["text"].strip()) for r in stride_sample(rows, percent).collect() if r["text"].strip())
+
+
+@pytest.mark.parametrize("percent,cap,files", [(40, 37, 1), (100, 0, 2), (30, None, 3), (100, 1000, 4)])
+def test_cap_and_stride_over_all_files(spark, tmp_path, percent, cap, files):
+    root, out, entries = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/ledger"
+    shards_of(root, [7, 0, 13, 1, 20, 9, 11])
+
+    def run():
+        rows = ingest.stream_shards(spark, str(root), "text string", files_per_batch=files)
+        ledger.ordinal_ingest(rows, out, entries, f"{tmp_path}/c", percent=percent, max_samples=cap).awaitTermination()
+
+    run()
+    expected = batch_result(spark, root, percent, cap)
+    read = spark.read.schema("text string, ordinal long").parquet(out)
+    assert sorted((r["ordinal"], r["text"]) for r in read.collect()) == expected
+    # A second run with one more shard goes on where the first one ended.
+    pq.write_table(pa.table({"text": [f"late {i}" for i in range(5)]}), root / "train-00007.parquet")
+    run()
+    read = spark.read.schema("text string, ordinal long").parquet(out)
+    assert sorted((r["ordinal"], r["text"]) for r in read.collect()) == batch_result(spark, root, percent, cap)
+    listed = ledger.ledger_table(spark, entries)
+    assert listed.agg(F.sum("rows")).first()[0] == 66
+
+
+@pytest.mark.parametrize("fail_at", ["ledger", "rows"])
+def test_retry_gives_the_same_rows(spark, tmp_path, monkeypatch, fail_at):
+    root, out, entries = tmp_path / "in", f"{tmp_path}/out", f"{tmp_path}/ledger"
+    shards_of(root, [7, 12, 13])
+    calls = []
+    plain = ledger.stride_sample if fail_at == "rows" else ledger.number_files
+
+    def failing(*given):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost on purpose")
+        return plain(*given)
+
+    monkeypatch.setattr(ledger, "stride_sample" if fail_at == "rows" else "number_files", failing)
+
+    def run():
+        rows = ingest.stream_shards(spark, str(root), "text string", files_per_batch=1)
+        ledger.ordinal_ingest(rows, out, entries, f"{tmp_path}/c", percent=40, max_samples=25).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    assert len(calls) == 4
+    read = spark.read.schema("text string, ordinal long").parquet(out)
+    assert sorted((r["ordinal"], r["text"]) for r in read.collect()) == batch_result(spark, root, 40, 25)
+
+
 def test_preset_workflow(spark, tmp_path):
     assert preset_options("runpod-full", percent=5.0)["percent"] == 100.0
     assert preset_options("local-subset", percent=5.0)["num_files"] == 10
