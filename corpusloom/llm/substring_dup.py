@@ -130,26 +130,43 @@ def kept_words(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, byt
 def bounds(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with the least and greatest ``id`` of their key, as ``first`` and ``last``.
 
-    Keys frequent in a sample are aggregated in the tasks and looked up by broadcast; the others are
-    too rare to burden one task and are shuffled once.
+    Keys frequent in a sample, at most ``MOST_HOT``, are aggregated in the tasks, and their rows look the
+    result up in a map without a shuffle; the other keys are too rare to burden one task and are
+    shuffled once.
     """
     spark, total = rows.sparkSession, rows.count()
     share = min(1.0, max(SAMPLE_LEAST, min(total / 100, SAMPLE_MOST)) / max(total, 1))
     often = rows.sample(share, 17).groupBy(keys[0]).count().filter(F.col("count") >= OFTEN)
-    hot = often.orderBy(F.desc("count")).limit(MOST_HOT).select(keys[0]).collect()
+    often = often.orderBy(F.desc("count")).limit(MOST_HOT).select(keys[0]).collect()
     ends = F.min("id").alias("first"), F.max("id").alias("last")
     key = W.partitionBy(*keys)
 
     def within(part: DataFrame) -> DataFrame:
         return part.select("*", F.min("id").over(key).alias("first"), F.max("id").over(key).alias("last"))
 
-    if not hot:
+    def among(values: list, how: str) -> DataFrame:
+        schema = rows.select(keys[0]).schema
+        return rows.join(F.broadcast(spark.createDataFrame(values, schema)), keys[0], how)
+
+    if not often:
+        return within(rows)
+    found = among(often, "left_semi").groupBy(*keys).agg(*ends).toPandas()
+    # The first part of a key tells frequent keys apart; one that does not goes with the rare ones.
+    found = found.drop_duplicates(keys[0], keep=False).sort_values(keys[0])
+    if found.empty:
         return within(rows)
-    known = F.broadcast(spark.createDataFrame(hot, rows.select(keys[0]).schema))
-    frequent = rows.join(known, keys[0], "left_semi")
-    found = F.broadcast(frequent.groupBy(*keys).agg(*ends))
-    cold = within(rows.join(known, keys[0], "left_anti"))
-    return cold.unionByName(frequent.join(found, keys).select(cold.columns))
+    names, first, last = (found[c].to_numpy() for c in (keys[0], "first", "last"))
+    hot = [(v,) for v in names.tolist()]
+
+    def look_up(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = np.searchsorted(names, batch.column(keys[0]).to_numpy())
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(first[at]), pa.array(last[at])], [*batch.schema.names, "first", "last"])
+
+    cold = within(among(hot, "left_anti"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    looked_up = mapped(among(hot, "left_semi").select(rows.columns), look_up, f"{schema}, first long, last long")
+    return cold.select(looked_up.columns).union(looked_up)
 
 
 def _bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
