@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from corpusloom.llm.common import store, table
 from corpusloom.operators.joins import hot_keys, left_lookup
@@ -239,54 +239,68 @@ def _judged(rows: DataFrame) -> DataFrame:
 LEGAL = {(0, 1), (1, 2), (2, 1)}
 
 
-def _summary(block: pd.DataFrame) -> pd.DataFrame:
-    block = block.sort_values("place")
-    classes = block["class"].tolist()
-    copies = block["n"].tolist()
+def _grouped(df: DataFrame, key: str, order: list[str], function: Callable[[list[dict]], list[tuple]], kinds: dict[str, pa.DataType]) -> DataFrame:
+    """``function`` from the rows of one key, in order, to rows; many small groups share a batch."""
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                if held and held[0][key] != row[key]:
+                    out += function(held)
+                    held = []
+                held.append(row)
+            yield rows(out)
+        if held:
+            yield rows(function(held))
+
+    sorted_rows = df.repartition(key).sortWithinPartitions(key, *order)
+    return sorted_rows.mapInArrow(run, from_arrow_schema(pa.schema(list(kinds.items()))))
+
+
+def _summary(block: list[dict]) -> list[tuple]:
+    classes, copies = [r["class"] for r in block], [r["n"] for r in block]
     illegal = sum(n - 1 for n in copies) + sum(pair not in LEGAL for pair in zip(classes, classes[1:]))
-    whole = transition(runs(block["kind"].tolist(), copies))
-    return pd.DataFrame([{
-        "conv": block["conv"].iloc[0], "block": block["block"].iloc[0], "moves": whole.ravel(),
-        "illegal": illegal, "first": classes[0], "last": classes[-1]}])
+    whole = transition(runs([r["kind"] for r in block], copies))
+    return [(block[0]["conv"], block[0]["block"], whole.ravel().tolist(), illegal, classes[0], classes[-1])]
 
 
-def _tails(blocks: pd.DataFrame) -> pd.DataFrame:
-    """Costs after every block of a conversation; the first one also carries its total cost and illegal pairs."""
-    blocks = blocks.sort_values("block")
-    ends = list(zip(blocks["first"], blocks["last"]))
-    illegal = int(blocks["illegal"].sum()) + sum((a[1], b[0]) not in LEGAL for a, b in zip(ends, ends[1:]))
+def _tails(blocks: list[dict]) -> list[tuple]:
+    """Costs after every block of a conversation, each with its total cost and illegal pairs."""
+    illegal = sum(b["illegal"] for b in blocks)
+    illegal += sum((a["last"], b["first"]) not in LEGAL for a, b in zip(blocks, blocks[1:]))
     tail, tails = FINISH, []
-    for moves in reversed(blocks["moves"].tolist()):
-        tails.append(tail)
-        tail = times(np.asarray(moves).reshape(4, 4), tail)
-    out = blocks[["conv", "block"]].copy()
-    out["tail"] = tails[::-1]
-    out["number"] = np.arange(len(out))
-    out["last"] = out["number"] == len(out) - 1
-    out["cost"], out["illegal"] = int(tail[EMPTY]), illegal
-    return out
+    for block in reversed(blocks):
+        tails.append(tail.tolist())
+        tail = times(np.array(block["moves"], np.int64).reshape(4, 4), tail)
+    return [(b["conv"], b["block"], t, k, k == len(blocks) - 1, int(tail[EMPTY]), illegal)
+            for k, (b, t) in enumerate(zip(blocks, reversed(tails)))]
 
 
-def _walks(block: pd.DataFrame) -> pd.DataFrame:
+def _walks(block: list[dict]) -> list[tuple]:
     """The edits of a block from every state it may be entered in."""
-    block = block.sort_values("place")
-    row = block.iloc[0]
-    parts, tail = runs(block["kind"].tolist(), block["n"].tolist()), np.asarray(row["tail"])
+    row = block[0]
+    parts, tail = runs([r["kind"] for r in block], [r["n"] for r in block]), np.array(row["tail"], np.int64)
     out = []
     for state in range(4) if row["number"] else [EMPTY]:
-        audit, after = unroll(parts, tail, state, bool(row["last"]))
-        out.append({"conv": row["conv"], "block": row["block"], "enter": state, "leave": after, "audit": audit})
-    return pd.DataFrame(out)
+        audit, after = unroll(parts, tail, state, row["final"])
+        out.append((row["conv"], row["block"], state, after, audit))
+    return out
 
 
-def _entered(walks: pd.DataFrame) -> pd.DataFrame:
+def _entered(walks: list[dict]) -> list[tuple]:
     """The state each block of a conversation is entered in."""
-    leave = {(b, e): x for b, e, x in zip(walks["block"], walks["enter"], walks["leave"])}
+    leave = {(w["block"], w["enter"]): w["leave"] for w in walks}
     state, out = EMPTY, []
-    for block in sorted(set(walks["block"])):
-        out.append({"block": block, "enter": state})
+    for block in dict.fromkeys(w["block"] for w in walks):
+        out.append((block, state))
         state = leave[block, state]
-    return pd.DataFrame(out)
+    return out
 
 
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,14 +367,15 @@ def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     judged = _judged(rows.select(
         "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), "copies"))
     light = judged.select("conv", "block", "place", "class", "kind", "n")
-    summary = light.groupBy("block").applyInPandas(
-        _summary, "conv string, block long, moves array<long>, illegal long, first int, last int")
-    tails = store(summary.groupBy("conv").applyInPandas(
-        _tails, "conv string, block long, tail array<long>, number long, last boolean, cost long, illegal long"), "tails")
-    walks = light.join(tails.select("block", "tail", "number", "last"), "block").groupBy("block").applyInPandas(
-        _walks, "conv string, block long, enter int, leave int, audit string")
-    walks = store(walks, "walks")
-    entered = walks.select("conv", "block", "enter", "leave").groupBy("conv").applyInPandas(_entered, "block long, enter int")
+    name, number, small = pa.string(), pa.int64(), pa.int32()
+    summary = _grouped(light, "block", ["place"], _summary, {
+        "conv": name, "block": number, "moves": pa.list_(number), "illegal": number, "first": small, "last": small})
+    tails = store(_grouped(summary, "conv", ["block"], _tails, {
+        "conv": name, "block": number, "tail": pa.list_(number), "number": number, "final": pa.bool_(), "cost": number,
+        "illegal": number}), "tails")
+    walks = store(_grouped(light.join(tails.select("block", "tail", "number", "final"), "block"), "block", ["place"], _walks, {
+        "conv": name, "block": number, "enter": small, "leave": small, "audit": name}), "walks")
+    entered = _grouped(walks.select("conv", "block", "enter", "leave"), "conv", ["block"], _entered, {"block": number, "enter": small})
     chosen = store(walks.join(entered, ["block", "enter"]), "edits")
 
     last = judged.groupBy("block").agg(F.max("place").alias("final"))
