@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WORD_MARK, bert_normalize, bert_words, collapse_whitespace
+from corpusloom.operators.longest import LongestMatch
 from corpusloom.operators.segment import (
-    UNKNOWN_PENALTY, as_bytes, best_path, join_unknown, longest_match, marked, merge_pieces, prefix_table,
+    UNKNOWN_PENALTY, as_bytes, best_path, join_unknown, marked, merge_pieces, prefix_table,
 )
 from corpusloom.session import SMALL_TABLE_ROWS
 
@@ -44,6 +45,7 @@ class Encoder:
         self.cut = re.compile("(" + "|".join(map(re.escape, user)) + ")") if user else None
         self.user = set(user)
         self.table = prefix_table(self.scores) if model == "unigram" else {}
+        self.longest = LongestMatch(self.text_ids) if model == "wordpiece" else None
         self.unknown_score = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
 
     def _cut(self, word: str) -> list[str]:
@@ -57,7 +59,7 @@ class Encoder:
 
     def word_pieces(self, word: str) -> list[str]:
         if self.model == "wordpiece":
-            return longest_match(word, self.text_ids)
+            return self.longest.cut(word)
         segments = self.cut.split(word) if self.cut else [word]
         pieces: list[str] = []
         for segment in segments:

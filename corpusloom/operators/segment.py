@@ -7,9 +7,8 @@ import math
 
 from corpusloom.functions.text import WORD_MARK
 
-# Score gap of an unknown character, and the longest word WordPiece looks at.
+# Fixed value: score gap of an unknown character.
 UNKNOWN_PENALTY = 10.0
-WORDPIECE_MAX_WORD = 100
 
 _ABSENT = object()
 
@@ -143,23 +142,6 @@ def _log_add(a: float, b: float) -> float:
     return a if b == -math.inf else a + math.log1p(math.exp(b - a))
 
 
-def longest_match(word: str, ids: dict[str, int], unknown: str = "[UNK]") -> list[str]:
-    """Longest known piece first, ``##`` in front of all but the first; else the unknown piece."""
-    if len(word) > WORDPIECE_MAX_WORD:
-        return [unknown]
-    pieces, begin = [], 0
-    while begin < len(word):
-        for end in range(len(word), begin, -1):
-            piece = ("##" if begin else "") + word[begin:end]
-            if piece in ids:
-                break
-        else:
-            return [unknown]
-        pieces.append(piece)
-        begin = end
-    return pieces
-
-
 def join_unknown(pieces: list[str], ids: dict[str, int]) -> list[str]:
     """Neighbouring unknown pieces as one."""
     out: list[str] = []
