@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,25 +18,85 @@ _COUNTS = T.StructType([
 ])
 
 
+def edit_distance(reference: Sequence, hypothesis: Sequence) -> int:
+    """Edit distance with one column of the table per step as bits of whole numbers.
+
+    The differences of a column lie in two bit vectors of one bit per reference item, kept in machine
+    words by Python's integers, so memory is linear and a step costs one operation per word of bits.
+    """
+    if not reference or not hypothesis:
+        return len(reference) + len(hypothesis)
+    places: dict = defaultdict(list)
+    for at, item in enumerate(reference):
+        places[item].append(at)
+    size = len(reference)
+    every, top = (1 << size) - 1, 1 << (size - 1)
+    equal: dict = {}
+    more, less, distance = every, 0, size
+    for item in hypothesis:
+        here = equal.get(item)
+        if here is None:
+            here = equal[item] = _bits(places.get(item, ()), size)
+        carry = here | less
+        zero = (((carry & more) + more) ^ more) | carry
+        rise = less | (every & ~(zero | more))
+        fall = more & zero
+        if rise & top:
+            distance += 1
+        elif fall & top:
+            distance -= 1
+        rise = (rise << 1) | 1
+        more = every & ((fall << 1) | ~(zero | rise))
+        less = every & rise & zero
+    return distance
+
+
+def _bits(places: Sequence[int], size: int) -> int:
+    """A number with ones at the places."""
+    if len(places) < 8:
+        return sum(1 << at for at in places)
+    flags = np.zeros(size, np.uint8)
+    flags[list(places)] = 1
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+
 def align_counts(reference: list, hypothesis: list) -> tuple[int, int, int]:
     """Substitutions, insertions and deletions of one cheapest alignment.
 
-    Among alignments of equal cost the one with most substitutions is counted. Each row of the
-    table packs cost and indels into one number, so one minimum decides both.
+    Among alignments of equal cost the one with most substitutions is counted. The distance, found
+    first, bounds how far a cheapest alignment strays from the diagonal; only that band of the table is
+    walked, one row at a time. A cell packs cost and indels into one number, so one minimum decides both.
     """
+    distance = edit_distance(reference, hypothesis)
+    surplus = len(hypothesis) - len(reference)
+    if not distance:
+        return 0, 0, 0
     codes = {w: i for i, w in enumerate(dict.fromkeys([*reference, *hypothesis]))}
     hyp = np.array([codes[w] for w in hypothesis], dtype=np.int64)
     scale = len(reference) + len(hypothesis) + 1
     indel, swap = scale + 1, scale
-    at = np.arange(len(hyp) + 1, dtype=np.int64) * indel
-    for word in reference:
-        best = at + indel
-        best[1:] = np.minimum(best[1:], at[:-1] + np.where(hyp == codes[word], 0, swap))
+    # A way through diagonal d has at least |d| + |surplus - d| indels.
+    spare = (distance - abs(surplus)) // 2
+    low, high = min(0, surplus) - spare, max(0, surplus) + spare
+    far = np.iinfo(np.int64).max // 4
+    ramp = np.arange(high - low + 1, dtype=np.int64) * indel
+    # The cell of diagonal d in row i is column i + d, at place d - low of the band.
+    column = np.arange(low, high + 1)
+    at = np.where((column >= 0) & (column <= len(hyp)), column * indel, far)
+    padded = np.concatenate((np.full(max(0, -low) + 1, -1), hyp, np.full(max(0, high) + len(reference) + 1, -1)))
+    begin = max(0, -low) + 1
+    for row, word in enumerate(reference, 1):
+        best = at + np.where(padded[begin + row + low - 1 : begin + row + high] == codes[word], 0, swap)
+        best[:-1] = np.minimum(best[:-1], at[1:] + indel)
+        # Columns outside the table stay out of reach; column 0 is entered from above only.
+        column += 1
+        best[(column < 0) | (column > len(hyp))] = far
+        if (zero := -row - low) >= 0 and zero < len(best):
+            best[zero] = min(far, row * indel)
         # An insertion chain adds a constant per step: a running minimum of the offsets.
-        ramp = np.arange(len(best), dtype=np.int64) * indel
-        at = np.minimum.accumulate(best - ramp) + ramp
-    cost, indels = divmod(int(at[-1]), scale)
-    surplus = len(hypothesis) - len(reference)
+        at = np.minimum(np.minimum.accumulate(best - ramp) + ramp, far)
+        at[column > len(hyp)] = far
+    cost, indels = divmod(int(at[surplus - low]), scale)
     insertions = (indels + surplus) // 2
     return cost - indels, insertions, indels - insertions
 
@@ -44,6 +107,23 @@ def _word_edits(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["substitutions", "insertions", "deletions"])
 
 
+# Texts whose table has more cells than this are compared by bits.
+LARGE_TABLE = 4_000_000
+
+
+@F.pandas_udf(T.IntegerType())
+def _long_edits(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
+    pairs = zip(reference, hypothesis)
+    return pd.Series([None if r is None or h is None else edit_distance(r, h) for r, h in pairs], dtype="Int32")
+
+
+def char_edits(reference: Column, hypothesis: Column) -> Column:
+    """Edit distance of code points: the built-in expression, but for long texts bit vectors."""
+    large = F.length(reference).cast("long") * F.length(hypothesis) > LARGE_TABLE
+    by_bits = _long_edits(F.when(large, reference), F.when(large, hypothesis))
+    return F.when(large, by_bits).otherwise(F.levenshtein(F.when(~large, reference), hypothesis))
+
+
 def row_errors(df: DataFrame, reference: str, hypothesis: str) -> DataFrame:
     """Word and character edit counts of each row."""
     ref, hyp = F.col(reference), F.col(hypothesis)
@@ -53,7 +133,7 @@ def row_errors(df: DataFrame, reference: str, hypothesis: str) -> DataFrame:
         F.size(split_words(ref)).alias("ref_words"),
         F.length(ref).alias("ref_chars"),
         edits.alias("_edits"),
-        F.levenshtein(ref, hyp).alias("char_edits"),
+        char_edits(ref, hyp).alias("char_edits"),
     ).select(
         "*", "_edits.substitutions", "_edits.insertions", "_edits.deletions"
     ).drop("_edits")
@@ -80,11 +160,11 @@ def error_rates(df: DataFrame, reference: str, hypothesis: str, key: str | None
 
 
 def character_error_rates(df: DataFrame, reference: str, hypothesis: str, key: str) -> DataFrame:
-    """Character error rate per key, on built-in expressions only."""
+    """Character error rate per key; a row with a null text counts, its edits do not."""
     ref, hyp = F.col(reference), F.col(hypothesis)
     totals = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.length(ref)).alias("ref_chars"),
-        F.sum(F.levenshtein(ref, hyp)).alias("char_edits"),
+        F.sum(char_edits(ref, hyp)).alias("char_edits"),
     )
     return totals.withColumn("cer", F.round(_rate(F.col("char_edits"), F.col("ref_chars")), 6))
