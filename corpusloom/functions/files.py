@@ -31,11 +31,16 @@ def write_bytes(path: str, payload: bytes) -> None:
         out.write(payload)
 
 
-def prefix_sha1(path: str, size: int) -> str | None:
-    """SHA-1 of the first ``size`` bytes; ``None`` when the file cannot be read."""
+def range_sha1(path: str, start: int, size: int) -> str | None:
+    """SHA-1 of up to ``size`` bytes from a place of a file, a piece at a time; ``None`` if it cannot be read."""
+    digest = hashlib.sha1()
     try:
         store, inner = resolve(path)
-        with store.open_input_stream(inner) as stream:
-            return hashlib.sha1(stream.read(size)).hexdigest()
+        with store.open_input_file(inner) as file:
+            file.seek(start)
+            while size > 0 and (piece := file.read(min(size, 1 << 20))):
+                digest.update(piece)
+                size -= len(piece)
     except OSError:
         return None
+    return digest.hexdigest()

@@ -266,6 +266,20 @@ ORACLES: dict[str, str] = {
     ),
     "pad_batches": padded("event_type", "SELECT event_type, value, event_id FROM events"),
     "bucket_batches": padded("bucket", f"SELECT {BUCKET} AS bucket, value, event_id FROM events"),
+    # Every way to cut the distinct lengths in four, one cut after the other.
+    "padding_edges": (
+        "WITH RECURSIVE lengths AS (SELECT floor(value / 10) + 1 AS d, count(*) AS n FROM events GROUP BY ALL), "
+        "bins AS (SELECT d, n, row_number() OVER (ORDER BY d) AS b, sum(n) OVER (ORDER BY d) AS until FROM lengths), "
+        "parts AS (SELECT x.b AS a, y.b AS b, (y.until - x.until + x.n) * y.d AS cost FROM bins x JOIN bins y ON x.b <= y.b), "
+        "way AS (SELECT b, cost, [b] AS ends FROM parts WHERE a = 1 UNION ALL "
+        "SELECT b, cost, ends FROM (SELECT p.b, w.cost + p.cost AS cost, list_append(w.ends, p.b) AS ends, "
+        "row_number() OVER (PARTITION BY p.b ORDER BY w.cost + p.cost) AS place "
+        "FROM way w JOIN parts p ON p.a = w.b + 1 WHERE len(w.ends) < 4) WHERE place = 1), "
+        "best AS (SELECT ends FROM way WHERE b = (SELECT max(b) FROM bins) ORDER BY cost LIMIT 1), "
+        "cut AS (SELECT unnest(ends) AS e, unnest(range(len(ends))) AS bucket FROM best) "
+        "SELECT bucket, max(d) AS upper, sum(n)::BIGINT AS rows, sum(n * d)::DOUBLE AS used, (sum(n) * max(d))::DOUBLE AS padded "
+        "FROM bins JOIN (SELECT bucket, e, coalesce(lag(e) OVER (ORDER BY e), 0) AS f FROM cut) ON b > f AND b <= e GROUP BY bucket"
+    ),
     "frame_budget": (
         f"SELECT event_id, value AS duration, {FRAMES} AS frames, CAST(ceil({FRAMES} / 8.0) AS BIGINT) AS encoder_steps FROM events"
     ),
@@ -289,6 +303,20 @@ ORACLES: dict[str, str] = {
         f"FROM (SELECT text, {words('text')} AS r, {words(HEARD)} AS h, string_split(text, '') AS rc, "
         f"string_split({HEARD}, '') AS hc FROM benchmark))"
     ),
+    # One row of the alignment table per step; a cell packs cost and, below it, the number of indels.
+    "word_edit_parts": (
+        f"WITH RECURSIVE items AS (SELECT item_id, {words('text')} AS r, {words(HEARD)} AS h, "
+        f"len({words('text')}) + len({words(HEARD)}) + 1 AS scale FROM benchmark), "
+        "step AS (SELECT item_id, 0 AS k, list_transform(range(0, len(h) + 1), lambda j: j * (scale + 1)) AS line FROM items "
+        "UNION ALL SELECT s.item_id, k + 1, list_transform(range(0, len(h) + 1), lambda j: j * (scale + 1) + list_min("
+        "list_transform(range(0, j + 1), lambda i: least(line[i + 1] + scale + 1, CASE WHEN i > 0 THEN line[i] + "
+        "CASE WHEN h[i] = r[k + 1] THEN 0 ELSE scale END END) - i * (scale + 1)))) "
+        "FROM step s JOIN items USING (item_id) WHERE k < len(r)), "
+        "ended AS (SELECT item_id, len(r) AS n, len(h) - len(r) AS more, line[-1] // scale AS cost, line[-1] % scale AS indels "
+        "FROM step JOIN items USING (item_id) WHERE k = len(r)) "
+        "SELECT item_id, n AS ref_words, cost - indels AS substitutions, (indels + more) // 2 AS insertions, "
+        "indels - (indels + more) // 2 AS deletions FROM ended"
+    ),
     "best_k_runs": (
         "SELECT * FROM (SELECT o_orderpriority, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_orderpriority "
         "ORDER BY o_totalprice, o_orderkey) AS rank FROM orders) WHERE rank <= 3"
@@ -328,6 +356,10 @@ ORACLES: dict[str, str] = {
         "SELECT audio_filepath, duration, text, CASE role WHEN 'assistant' THEN 0 WHEN 'system' THEN 1 ELSE 2 END AS file_order "
         f"FROM ({TALK})"
     ),
+    "union_manifests_ordered": (
+        "SELECT audio_filepath, row_number() OVER (ORDER BY role, conv_id, turn) - 1 AS position "
+        f"FROM ({TALK})"
+    ),
     "scalar_suite": (
         "SELECT doc_id, format('train-{:05d}.parquet', doc_id) AS shard, format('sample_{:06d}.wav', doc_id) AS sample, "
         "sha1(encode(text)[1:64]) AS sha1_64, strlen(text) AS bytes, CAST(ceil(n_chars / 7.0) AS BIGINT) AS up, "

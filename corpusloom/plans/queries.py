@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import numbers
 from corpusloom.functions import text as tx
+from corpusloom.functions.normalize import trainer_normalize
 from corpusloom.operators import batches, encode, errors, hygiene, manifest, sampling, stats
 from corpusloom.operators.vocab import bpe, simple, table as vt, unigram
 from corpusloom.plans import fixtures as fx
@@ -348,7 +349,7 @@ def _(spark, sf_dir):
 @query("nfkc_normalize")
 def _(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
-    return spread(pages).select("page_id", tx.nfkc_normalize("html").alias("html"))
+    return spread(pages).select("page_id", trainer_normalize("html").alias("html"))
 
 
 @query("bert_normalize")
@@ -477,6 +478,13 @@ def _(spark, sf_dir):
     return rounded_batches(batches.bucket_batches(events, EDGES, 16)).withColumn("bucket", F.col("bucket").cast("long"))
 
 
+@query("padding_edges")
+def _(spark, sf_dir):
+    """The four buckets of least padding over the lengths of all events in steps of ten seconds."""
+    events = fx.table(spark, sf_dir, "events").select((F.floor(F.col("value") / 10) + 1).cast("double").alias("duration"))
+    return batches.padding_edges(batches.length_sketch(events), 4).select("bucket", "upper", "rows", F.round("used", 4).alias("used"), "padded")
+
+
 def rounded_batches(df: DataFrame) -> DataFrame:
     return df.withColumn("used", F.round("used", 4)).withColumn("wasted_share", F.round("wasted_share", 6))
 
@@ -509,6 +517,16 @@ def _(spark, sf_dir):
     return errors.error_rates(spread(items), "reference", "hypothesis").select("rows", "ref_words", "word_edits", "wer", "char_edits", "cer")
 
 
+@query("word_edit_parts")
+def _(spark, sf_dir):
+    """Substitutions, insertions and deletions of every benchmark item."""
+    items = fx.table(spark, sf_dir, "benchmark").select(
+        "item_id", F.col("text").alias("reference"), heard(F.col("text")).alias("hypothesis")
+    )
+    rows = errors.row_errors(spread(items), "reference", "hypothesis")
+    return rows.select("item_id", *[F.col(c).cast("long").alias(c) for c in ("ref_words", "substitutions", "insertions", "deletions")])
+
+
 def heard(text):
     """What a recogniser might return: lower case, no punctuation, words dropped and split."""
     plain = F.regexp_replace(F.lower(text), "[.,!?]", "")
@@ -721,6 +739,18 @@ def _(spark, sf_dir):
     return rows.select("audio_filepath", "duration", "text", F.col("file_order").cast("long").alias("file_order"))
 
 
+@query("union_manifests_ordered")
+def _(spark, sf_dir):
+    """Manifests written in order of turns, numbered over all their lines."""
+    root, paths = scratch_path(spark, "ordered"), []
+    rows = fx.talk_manifest(spark, sf_dir)
+    for role in fx.ROLES:
+        ordered = rows.filter(F.col("role") == role).repartitionByRange(3, "conv_id", "turn").sortWithinPartitions("conv_id", "turn")
+        sinks.write_manifest(ordered, f"{root}/{role}")
+        paths.append(f"{root}/{role}")
+    return readers.union_manifests(spark, paths).select("audio_filepath", "position")
+
+
 @query("scalar_suite")
 def _(spark, sf_dir):
     d = docs(spark, sf_dir)

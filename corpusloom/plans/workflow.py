@@ -9,8 +9,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions.normalize import trainer_normalize
 from corpusloom.functions.numbers import coerce_duration, head_target, run_name
-from corpusloom.functions.text import clean_or_null, collapse_whitespace, nfkc_normalize
+from corpusloom.functions.text import clean_or_null, collapse_whitespace
 from corpusloom.operators.hygiene import dedup_shards
 from corpusloom.operators.manifest import audio_name
 from corpusloom.operators.sampling import OrderedCorpus, cap_rows, sample_sentences, stride_sample
@@ -100,7 +101,7 @@ def train_from_lines(
     """Vocabulary of a corpus of lines (``value``), stored under a folder named by its options.
 
     ``wpe`` is WordPiece over BERT-normalised text, where ``lowercase`` also drops marks. ``spe``
-    is one of the four model types; there ``lowercase`` folds case and ``nfkc`` normalises.
+    is one of the four model types; there ``lowercase`` folds case and ``nfkc`` normalises by the trainer's rule.
     ``sample_key`` must identify a line for ``sample_size`` to be exact.
     """
     rows = sample_sentences(lines, sample_size, list(sample_key))
@@ -109,7 +110,7 @@ def train_from_lines(
         vocab = train_wordpiece(spark, bert_word_counts(rows, "value", lowercase), vocab_size)
         write_wordpiece_vocab(vocab, f"{output_dir}/{run_name('wpe', vocab_size)}")
         return vocab
-    text = nfkc_normalize(text) if nfkc else text
+    text = trainer_normalize(text) if nfkc else text
     text = F.lower(text) if lowercase else text
     text = collapse_whitespace(text) if remove_extra_whitespaces else text
     pieces = spe_type in ("bpe", "unigram")
@@ -160,5 +161,5 @@ def build_manifest(
     )
     path = F.when(F.col("no_audio"), F.lit("")).otherwise(F.col("audio_filepath"))
     target = f"{out_dir}/{split}_manifest"
-    write_manifest(exported.withColumn("audio_filepath", path), target)
+    write_manifest(exported.withColumn("audio_filepath", path), target, rejects=f"{target}_rejects")
     return read_manifest(spark, target)

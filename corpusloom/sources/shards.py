@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.files import resolve
-from corpusloom.sources.schema import CORPUS_TEXT_ORDER, SPLIT_SHARDS
+from corpusloom.sources.schema import CORPUS_TEXT_ORDER
 
 
 def shard_name(path: Column, split: str = "train") -> Column:
@@ -38,12 +38,11 @@ def scan_split(
 
     The bound is a predicate on the file path, so files beyond it are pruned before any read.
     """
-    limit = SPLIT_SHARDS.get(split) if num_files is None else num_files
     rows = _reader(spark, schema, tolerant).parquet(f"{root}/{split}-*.parquet")
     index = shard_index(F.col("_metadata.file_path"), split)
     wanted = [F.col(c) for c in (columns or rows.columns)]
-    if limit is not None:
-        rows = rows.filter(index < limit)
+    if num_files is not None:
+        rows = rows.filter(index < num_files)
     return rows.select(*wanted, index.alias("shard"))
 
 
@@ -79,43 +78,49 @@ def tolerant_scan(
     )
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        names = []
-        for path in batch["path"]:
-            try:
-                store, inner = resolve(path)
-                names.append(list(pq.read_schema(inner, filesystem=store).names))
-            except (OSError, ValueError):
-                names.append(None)
-        yield batch.assign(names=names)[["path", "shard", "names"]]
+def _footers(tolerant: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            names = []
+            for path in batch["path"]:
+                try:
+                    store, inner = resolve(path)
+                    names.append(list(pq.read_schema(inner, filesystem=store).names))
+                except (OSError, ValueError):
+                    if not tolerant:
+                        raise
+                    names.append(None)
+            yield batch.assign(names=names)[["path", "shard", "names"]]
+
+    return run
 
 
 def text_fallback(
     spark: SparkSession, root: str, split: str = "train", preferred: str | None = None,
     order: Sequence[str] = CORPUS_TEXT_ORDER, keep: Sequence[str] = (),
-    num_files: int | None = None, positions: bool = False,
+    num_files: int | None = None, positions: bool = False, tolerant: bool = False,
 ) -> DataFrame:
     """One ``text`` column over the first shards of a split; see :func:`text_of_files`."""
-    limit = SPLIT_SHARDS.get(split) if num_files is None else num_files
     listing = _listing(spark, root, split)
-    if limit is not None:
-        listing = listing.filter(F.col("shard") < limit)
-    return text_of_files(spark, listing, split, preferred, order, keep, positions)
+    if num_files is not None:
+        listing = listing.filter(F.col("shard") < num_files)
+    return text_of_files(spark, listing, split, preferred, order, keep, positions, tolerant)
 
 
 def text_of_files(
     spark: SparkSession, listing: DataFrame, split: str = "train", preferred: str | None = None,
     order: Sequence[str] = CORPUS_TEXT_ORDER, keep: Sequence[str] = (), positions: bool = False,
+    tolerant: bool = False,
 ) -> DataFrame:
     """One ``text`` column: the preferred name where a file has it, else the first of ``order``.
 
     Presence is decided per file from its footer, read by tasks. Files without any of the names
     are left out. One scan per chosen column name, so each scan reads a single text column.
-    ``positions`` adds the file ``path`` and the row number ``at`` in it.
+    ``positions`` adds the file ``path`` and the row number ``at`` in it. A file whose footer cannot be
+    read fails the job, or is left out if ``tolerant``.
     """
     footers = listing.select("path", "shard").mapInPandas(
-        _footers, "path string, shard int, names array<string>"
+        _footers(tolerant), "path string, shard int, names array<string>"
     )
     names = [preferred or order[0], *[c for c in order if c != (preferred or order[0])]]
     choice = F.coalesce(*[F.when(F.array_contains("names", c), F.lit(c)) for c in names])

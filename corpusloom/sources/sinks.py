@@ -22,10 +22,22 @@ def write_corpus_if_absent(df: DataFrame, path: str, text: str = "text") -> None
     write_corpus(df, path, text, mode="ignore")
 
 
-def write_manifest(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """JSON Lines manifest, nulls kept; a NaN duration is not JSON and becomes 0.0."""
-    duration = F.when(F.isnan("duration"), F.lit(0.0)).otherwise(F.col("duration"))
-    rows = df.select("audio_filepath", duration.alias("duration"), "text")
+def write_manifest(df: DataFrame, path: str, mode: str = "errorifexists", rejects: str | None = None) -> None:
+    """JSON Lines manifest, nulls kept.
+
+    JSON has no NaN and no infinity. Rows with such a duration are written to ``rejects`` as parquet, as they
+    are. Without that folder a NaN becomes 0.0, as a duration that cannot be parsed does, and an infinity
+    fails the job.
+    """
+    endless = F.coalesce(F.abs("duration") == float("inf"), F.lit(False))
+    odd = F.coalesce(F.isnan("duration"), F.lit(False)) | endless
+    rows = df.select("audio_filepath", "duration", "text")
+    if rejects is not None:
+        rows.filter(odd).write.mode(mode).parquet(rejects)
+        rows = rows.filter(~odd)
+    stop = F.raise_error(F.concat(F.lit("duration is no JSON number: "), F.coalesce("audio_filepath", F.lit("null"))))
+    number = F.when(endless, stop.cast("double")).when(odd, F.lit(0.0)).otherwise(F.col("duration"))
+    rows = rows.withColumn("duration", number)
     rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import broadcast_if_small
 from corpusloom.sources.schema import MANIFEST
 
 
@@ -28,24 +31,47 @@ def read_manifest(
     return spark.read.schema(MANIFEST).option("mode", mode).json(path_list(paths))
 
 
-def union_manifests(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows of several manifests with their source file, duplicates kept.
+_BLOCKS = "path string, block_start long, file_order int, first_mark long, first_position long"
+
 
-    ``file_order`` and ``position`` restore the order of the list and of the lines.
+def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(value, file_order, manifest, position)``: lines of text files numbered as if read one after the other.
+
+    ``file_order`` is the place in the list. A listed folder holds its files in order of path, and
+    ``position`` counts lines from 0 over all of the list. A file may have any number of splits: a first
+    scan counts the lines of each split, running sums in order of place, file and split start give where
+    each begins, and within a split lines carry rising marks. There is one row per split, so no line is
+    sorted or shuffled.
     """
     listed = path_list(paths)
     parts = [
-        read_manifest(spark, p).select(
-            "*", F.lit(i).alias("file_order"), F.lit(p).alias("manifest"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-        )
+        spark.read.option("lineSep", "\n").text(p).select(
+            "value", F.lit(i).alias("file_order"), F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block_start"))
         for i, p in enumerate(listed)
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    rows = reduce(DataFrame.unionAll, parts).withColumn("_mark", F.monotonically_increasing_id())
+    splits = rows.groupBy("file_order", "path", "block_start").agg(
+        F.count(F.lit(1)).alias("lines"), F.min("_mark").alias("first_mark")).collect()
+    splits.sort(key=lambda r: (r["file_order"], r["path"], r["block_start"]))
+    starts = accumulate((r["lines"] for r in splits), initial=0)
+    table = [(r["path"], r["block_start"], r["file_order"], r["first_mark"], at) for r, at in zip(splits, starts)]
+    offsets = broadcast_if_small(spark.createDataFrame(table, _BLOCKS), len(table))
+    names = F.array(*[F.lit(p) for p in listed])
+    return rows.join(offsets, ["path", "block_start", "file_order"]).select(
+        "value", "file_order", names[F.col("file_order")].alias("manifest"),
+        F.expr("first_position + _mark - first_mark").alias("position"))
+
+
+def union_manifests(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Rows of several manifests with their source, duplicates kept, in the columns of a manifest.
+
+    ``file_order`` and ``position`` restore the order of the list and of the lines; see
+    :func:`numbered_lines`. Blank lines are counted and left out; a malformed line fails the job.
+    """
+    lines = numbered_lines(spark, paths).filter(F.trim("value") != "")
+    fields = F.from_json("value", MANIFEST, {"mode": "FAILFAST"})
+    return lines.withColumn("fields", fields).select("fields.*", "file_order", "manifest", "position")
 
 
 def manifest_texts(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
