@@ -144,28 +144,25 @@ def bounds(rows: DataFrame, keys: list[str]) -> DataFrame:
     def within(part: DataFrame) -> DataFrame:
         return part.select("*", F.min("id").over(key).alias("first"), F.max("id").over(key).alias("last"))
 
-    def among(values: list, how: str) -> DataFrame:
-        schema = rows.select(keys[0]).schema
-        return rows.join(F.broadcast(spark.createDataFrame(values, schema)), keys[0], how)
-
     if not often:
         return within(rows)
-    found = among(often, "left_semi").groupBy(*keys).agg(*ends).toPandas()
+    name = F.col(keys[0])
+    found = rows.filter(name.isin([r[0] for r in often])).groupBy(*keys).agg(*ends).toPandas()
     # The first part of a key tells frequent keys apart; one that does not goes with the rare ones.
     found = found.drop_duplicates(keys[0], keep=False).sort_values(keys[0])
     if found.empty:
         return within(rows)
     names, first, last = (found[c].to_numpy() for c in (keys[0], "first", "last"))
-    hot = [(v,) for v in names.tolist()]
+    hot = name.isin(names.tolist())
 
     def look_up(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = np.searchsorted(names, batch.column(keys[0]).to_numpy())
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(first[at]), pa.array(last[at])], [*batch.schema.names, "first", "last"])
 
-    cold = within(among(hot, "left_anti"))
+    cold = within(rows.filter(~hot))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    looked_up = mapped(among(hot, "left_semi").select(rows.columns), look_up, f"{schema}, first long, last long")
+    looked_up = mapped(rows.filter(hot), look_up, f"{schema}, first long, last long")
     return cold.select(looked_up.columns).union(looked_up)
 
 
