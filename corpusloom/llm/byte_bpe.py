@@ -7,6 +7,7 @@ import hashlib
 import heapq
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -186,6 +187,9 @@ class Codec:
         self.sizes = np.zeros(max(self.pieces, default=-1) + 1, np.int64)
         for rank, piece in self.pieces.items():
             self.sizes[rank] = len(piece)
+        # All pieces in a row, by id, and where each begins.
+        self.flat = np.frombuffer(b"".join(self.pieces.get(r, b"") for r in range(len(self.sizes))), np.uint8)
+        self.begins = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, the byte offset of each in its text, and the bounds of texts."""
@@ -210,7 +214,7 @@ class Codec:
                         cache.clear()
                     cache[piece] = ids
             found.append(ids)
-        ids = np.fromiter((i for part in found for i in part), np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
         ends = np.cumsum(self.sizes[ids])
         bounds = np.searchsorted(ends, at_byte[begin], side="right")
         bounds[0] = 0
@@ -221,6 +225,14 @@ class Codec:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
 
+    def decode_at(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The bytes of one text's ids, each put at its offset: one gather from the pieces in a row."""
+        sizes = self.sizes[ids]
+        out = np.empty(int(sizes.sum()), np.uint8)
+        within = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out[np.repeat(offsets, sizes) + within] = self.flat[np.repeat(self.begins[ids], sizes) + within]
+        return out
+
 
 _codecs: dict[int, Codec] = {}
 
@@ -286,8 +298,31 @@ def token_digests(decoded: DataFrame) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def text_digests(docs: DataFrame, ranks: Broadcast) -> DataFrame:
+    """What :func:`token_digests` gives for encoded and decoded texts, without ids that leave the task.
+
+    Texts are encoded, decoded again through the retained offsets and digested batch by batch. Nulls,
+    repeated rows and empty tables as in :func:`encode_texts`.
+    """
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codec = _codec(ranks)
+        ids, offsets, bounds = codec.encode([t or "" for t in batch.column("text").to_pylist()])
+        words, own, back = ids.astype("<u4"), [], []
+        for a, b in zip(bounds, bounds[1:]):
+            own.append(hashlib.sha256(words[a:b].tobytes()).hexdigest())
+            back.append(hashlib.sha256(codec.decode_at(ids[a:b], offsets[a:b]).tobytes()).hexdigest())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(own), pa.array(back)],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return mapped(docs.select("doc_id", "text"), run, schema)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return token_digests(decode_ids(encode_texts(table(spark, sf_dir, "documents"), ranks), ranks))
+    return text_digests(table(spark, sf_dir, "documents"), ranks)

@@ -8,7 +8,9 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from corpusloom.llm.byte_bpe import Codec, decode_ids, encode_texts, load_ranks, merge_slice, op7_byte_bpe
+from corpusloom.llm.byte_bpe import (
+    Codec, decode_ids, encode_texts, load_ranks, merge_slice, op7_byte_bpe, text_digests, token_digests,
+)
 
 TEXTS = [
     "", " ", "  ", "a", "it's I'll we've they're 'tis ''s 'S  's \n's", "a  b\n\n c\t\td  x", "end  ", "1234 5six ٣ Ⅷ",
@@ -35,6 +37,8 @@ def test_codec_equals_library(encoding):
         assert mine == library.encode_ordinary(text), repr(text)
         assert codec.decode(mine) == text.encode()
         data = text.encode()
+        at = slice(bounds[k], bounds[k + 1])
+        assert codec.decode_at(ids[at], offsets[at]).tobytes() == data
         cuts = [*offsets[bounds[k] : bounds[k + 1]].tolist(), len(data)]
         assert [data[a:b] for a, b in zip(cuts, cuts[1:])] == [codec.pieces[i] for i in mine]
 
@@ -52,7 +56,9 @@ def test_dataframe_edge_cases(spark, encoding):
     got = decode_ids(encode_texts(df, ranks), ranks).collect()
     expected = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, _ in rows]
     assert sorted(((r[0], list(r[1]), bytes(r[2])) for r in got), key=str) == sorted(expected, key=str)
-    assert encode_texts(df.limit(0), ranks).count() == 0
+    assert encode_texts(df.limit(0), ranks).count() == text_digests(df.limit(0), ranks).count() == 0
+    both = token_digests(decode_ids(encode_texts(df, ranks), ranks)), text_digests(df, ranks)
+    assert both[0].columns == both[1].columns and len({str(sorted(map(str, b.collect()))) for b in both}) == 1
 
 
 def test_query(spark, sf, encoding):
