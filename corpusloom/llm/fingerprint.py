@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import mapped, table
-from corpusloom.llm.shingles import mix, word_hashes
+from corpusloom.llm.shingles import SPACE, mix, word_hashes
 
 # Lanes of 64 bits, uniformly hashed: equal sums mean equal paragraphs. Lanes of 32 bits for likeness.
 EQUAL_LANES, LIKE_LANES = 8, 128
@@ -29,14 +29,16 @@ def paragraphs(text: str) -> list[str]:
 
 def _likeness_lanes(parts: list[str]) -> np.ndarray:
     """Count sketch of the word pairs within each paragraph (of the word where it is alone)."""
-    lines = [word_hashes(p.encode("utf-8", "replace")) for p in parts]
-    sizes = [len(words) for words in lines]
-    if not sum(sizes):
+    data = "\n".join(parts).encode("utf-8", "replace")
+    words = word_hashes(data)  # of all paragraphs at once: a word's hash does not depend on its place
+    if not len(words):
         return _ZERO[1].copy()
-    words = np.concatenate(lines)
-    line = np.repeat(np.arange(len(lines)), sizes)
+    raw = np.frombuffer(data, np.uint8)
+    inside = ~SPACE[raw]
+    starts = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    line = np.searchsorted(np.flatnonzero(raw == ord("\n")), starts)
     pair = mix(words[:-1] * np.uint64(3) + words[1:])[line[:-1] == line[1:]]
-    single = words[np.isin(line, np.flatnonzero(np.array(sizes) == 1))]
+    single = words[np.bincount(line)[line] == 1]
     units = np.concatenate((pair, mix(single)))
     lane = (units % np.uint64(LIKE_LANES)).astype(np.int64)
     sign = 1.0 - 2.0 * ((units >> np.uint64(40)) & np.uint64(1)).astype(np.float64)
