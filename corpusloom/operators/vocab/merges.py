@@ -38,7 +38,8 @@ from corpusloom.operators.vocab.symbols import (
 from corpusloom.session import drop_path, scratch_path, spread_words
 
 TRACKED_PAIRS = 200_000
-WATCHED_PAIRS = 384
+# Pairs that are compared for overlaps. Ties wider than this are merged one pair a round.
+WATCHED_PAIRS = 4096
 ROUNDS_PER_TABLE = 32
 WORDS_PER_PARTITION = 25_000
 # Up to this many tasks send their sums to the driver without a shuffle in between.
