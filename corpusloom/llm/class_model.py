@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import as_bytes, held_out, mapped, store, table
-from corpusloom.llm.shingles import mix, words_and_endings
+from corpusloom.llm.shingles import SPACE, mix, words_and_endings
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 CLASSES = 48
@@ -29,20 +29,46 @@ END = np.uint64(0x0E4D0E4D0E4D0E4D)
 END_CLASS = 0
 # Units that choose at once, units per task of a round, and the most tasks.
 _TOGETHER, UNITS_PER_TASK, MOST_TASKS = 8, 20_000, 64
-_FLUSH_TOKENS = 1 << 20
+_FLUSH_TOKENS = 1 << 21
+# Bytes of texts whose words are cut and hashed together.
+_CHUNK_BYTES = 1 << 20
+
+
+def _chunks(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
+    """Texts in lists of about a megabyte; a longer text is alone."""
+    held, size = [], 0
+    for text in texts:
+        text = text or b""
+        if held and size + len(text) > _CHUNK_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
 
 
 def tokens(texts: Iterable[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes and ending cells of all texts, each closed by ``END``, and the texts' token counts."""
-    words, endings, sizes = [], [], []
-    for data in texts:
-        hashes, ending = words_and_endings(data or b"")
-        words += [hashes, np.array([END])]
-        endings += [(mix(ending.astype(np.uint64)) % np.uint64(ENDINGS)).astype(np.int32), np.zeros(1, np.int32)]
-        sizes.append(len(hashes) + 1)
-    if not sizes:
-        return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int64)
-    return np.concatenate(words), np.concatenate(endings), np.array(sizes, np.int64)
+    words, endings, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+    for chunk in _chunks(texts):
+        joined = b"\n".join(chunk)  # no word crosses a line end
+        hashes, ending = words_and_endings(joined)
+        inside = ~SPACE[np.frombuffer(joined, np.uint8)]
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        if len(inside) and inside[0]:
+            starts = np.concatenate(([0], starts))
+        bounds = np.cumsum([0, *(len(text) + 1 for text in chunk)])
+        size = np.diff(np.searchsorted(starts, bounds)) + 1
+        closed = np.full(len(hashes) + len(chunk), END)
+        cells = np.zeros(len(closed), np.int32)
+        at = np.arange(len(hashes)) + np.repeat(np.arange(len(chunk)), size - 1)
+        closed[at] = hashes
+        cells[at] = mix(ending.astype(np.uint64)) % np.uint64(ENDINGS)
+        words.append(closed)
+        endings.append(cells)
+        sizes.append(size)
+    return np.concatenate(words), np.concatenate(endings), np.concatenate(sizes)
 
 
 @dataclass
@@ -89,6 +115,7 @@ def context_counts(train: DataFrame, units: Broadcast) -> DataFrame:
         u = units.value
         width = CLASSES * CLASSES
         waiting, size = [], 0
+        moves = np.zeros(width, np.int64)
 
         def rows():
             keys, n = np.unique(np.concatenate([k for k, _ in waiting]), return_inverse=True)
@@ -108,15 +135,16 @@ def context_counts(train: DataFrame, units: Broadcast) -> DataFrame:
             before[ends - sizes] = END_CLASS
             after = np.roll(own, -1)
             real = words != END
-            keys = np.concatenate((
-                (unit[real] + 1) * width + before[real], (unit[real] + 1) * width + CLASSES + after[real], CLASSES * before + own))
-            keys, n = np.unique(keys, return_counts=True)
+            moves += np.bincount(CLASSES * before + own, minlength=width)
+            placed = (unit[real] + 1) * width
+            keys, n = np.unique(np.concatenate((placed + before[real], placed + CLASSES + after[real])), return_counts=True)
             waiting.append((keys, n))
             size += len(keys)
             if size >= _FLUSH_TOKENS:
                 yield rows()
                 waiting, size = [], 0
-        if waiting:
+        if moves.any():
+            waiting.append((np.flatnonzero(moves), moves[moves > 0]))
             yield rows()
 
     return train.select("text").mapInArrow(run, "unit long, slot int, n long").groupBy("unit", "slot").agg(F.sum("n").alias("n"))
