@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 
 # Sizes of the vocabularies trained by queries, and the edges of duration buckets.
 MERGE_VOCAB = 600
+FULL_VOCAB = 8000
 WORD_VOCAB = 2000
 EDGES = (5.0, 20.0, 60.0, 120.0)
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -569,7 +570,7 @@ def _bpe(spark, sf_dir, **options):
 
 
 def _unigram(spark, sf_dir):
-    return unigram.train_unigram(spark, segment_counts(spark, sf_dir), MERGE_VOCAB, 1.0, seed_size=4 * MERGE_VOCAB)
+    return unigram.train_unigram(spark, segment_counts(spark, sf_dir), FULL_VOCAB, 1.0)
 
 
 def _wordpiece(spark, sf_dir):
