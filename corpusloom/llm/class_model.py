@@ -240,6 +240,7 @@ class ClassModel:
     units: Units
     transition: np.ndarray
     emission: np.ndarray
+    ends: int
 
 
 def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int, int, Broadcast]:
@@ -278,7 +279,8 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int, int, Br
     sizes = class_sizes(words, shared)
     emission = pairs.sum(0) + sizes + 1.0
     emission[END_CLASS] = pairs.sum(0)[END_CLASS] + 1.0
-    model = ClassModel(shared.value, np.log10(smoothed(pairs)), np.log10(emission))
+    ends = words.filter(F.col("word") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    model = ClassModel(shared.value, np.log10(smoothed(pairs)), np.log10(emission), ends)
     return words, total, distinct, spark.sparkContext.broadcast(model)
 
 
@@ -301,7 +303,7 @@ def score(docs: DataFrame, words: DataFrame, total: int, distinct: int, model: B
     """Adds ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``perplexity`` to all columns but text.
 
     A text's log10 probability is the sum over its tokens of the smoothed class transition and the
-    add-one emission of the word in its class. The map scores transitions and frequent words; a
+    add-one emission of the word in its class. The map scores transitions, frequent words and the end; a
     text's rarer words meet the full count table by their hash in a join. Null and empty texts are
     the end token alone. Repeated rows and null ids are answered row by row; an empty table gives
     none; without training tokens every count is 0. Two words with one 64-bit hash would count as one.
@@ -320,15 +322,19 @@ def score(docs: DataFrame, words: DataFrame, total: int, distinct: int, model: B
         counts = np.zeros(len(hashes), np.int64)
         if len(m.units.counts):
             counts[frequent] = m.units.counts[unit[frequent]]
+        # Every text has one end: its count is one number, not a key for the join.
+        over = hashes == END
+        counts[over] = m.ends
         logs = np.log10(counts + 1.0)
-        rare = ~frequent
+        rare = ~(frequent | over)
+        known = frequent | (over & (m.ends > 0))
         path = np.add.reduceat(m.transition[before, own] - m.emission[own], begin)
         row = np.repeat(np.arange(len(sizes)), sizes)[rare]
         bounds = np.searchsorted(row, np.arange(len(sizes) + 1)).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [batch.column(c) for c in keep] + [
                 pa.array(sizes), pa.array(path), pa.array(np.add.reduceat(logs, begin)),
-                pa.array(np.add.reduceat(frequent.astype(np.int64), begin)),
+                pa.array(np.add.reduceat(known.astype(np.int64), begin)),
                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes[rare].view(np.int64)))],
             [*keep, "n_tokens", "_path", "_logs", "_frequent", "_rare"])
 
