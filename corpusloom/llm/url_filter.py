@@ -62,10 +62,10 @@ def judge_urls(
     ).first()
     labels, slashes = bounds["labels"] or 1, bounds["slashes"] or 0
     tails = sorted(bounds["tails"] or [0])
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")).groupBy("id", "url").agg(
-        F.count("*").alias("copies")
-    )
-    rows = rows.select("id", "copies", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
+    # Rows that agree in these have one verdict, whatever follows the path.
+    rows = pages.select(
+        F.col(id_col).alias("id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path")
+    ).groupBy("id", "host", "path").agg(F.count("*").alias("copies"))
     suffixes = F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.lit(labels)), lambda k: F.call_function("substring_index", F.col("host"), F.lit("."), -k)
     ))
