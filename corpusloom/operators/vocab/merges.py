@@ -38,8 +38,9 @@ from corpusloom.operators.vocab.symbols import (
 from corpusloom.session import drop_path, scratch_path, spread_words
 
 TRACKED_PAIRS = 200_000
-# Pairs that are compared for overlaps. Ties wider than this are merged one pair a round.
-WATCHED_PAIRS = 4096
+# Pairs that are compared for overlaps, and how many where the first ones are tied beyond that. Ties
+# wider still are merged one pair a round.
+WATCHED_PAIRS, WATCHED_TIES = 384, 4096
 ROUNDS_PER_TABLE = 32
 WORDS_PER_PARTITION = 25_000
 # Up to this many tasks send their sums to the driver without a shuffle in between.
@@ -104,6 +105,14 @@ class _Ranking:
             heapq.heappush(self.heap, entry)
         return found
 
+    def watched(self) -> tuple[list[tuple], bool]:
+        """The entries to compare, and whether they are all there are."""
+        found = self.best(WATCHED_PAIRS)
+        if len(found) < WATCHED_PAIRS or found[0][0] != found[-1][0]:
+            return found, len(found) < WATCHED_PAIRS
+        found = self.best(WATCHED_TIES)
+        return found, len(found) < WATCHED_TIES
+
 
 class _Chosen:
     """Merges of one batch and the test whether a further pair overlaps one of them."""
@@ -133,8 +142,7 @@ class _Chosen:
 def _select(ranking: _Ranking, want: int, measured: set[int], overlapping: set) -> list[tuple]:
     """The longest safe batch of merges, in rank order."""
     options = ranking.options
-    found = ranking.best(WATCHED_PAIRS)
-    complete = len(found) < WATCHED_PAIRS
+    found, complete = ranking.watched()
     edge = 0 if complete else -found[-1][0]
     chosen = _Chosen(measured, overlapping)
     batch, pieces, blocked = [], set(), []
@@ -352,7 +360,7 @@ class MergeTrainer:
             for code in done:
                 ranking.counts.pop(code, None)
             watched = np.sort(np.array(
-                [e[3] for e in ranking.best(WATCHED_PAIRS) if e[3] not in done], np.int64
+                [e[3] for e in ranking.watched()[0] if e[3] not in done], np.int64
             ))
             # Of pairs measured before, no new overlap can arise. Some may be gone: seen once per rewrite.
             again = len(self._pending) == 1
