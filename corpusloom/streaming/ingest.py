@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.functions.numbers import stride_of
-from corpusloom.functions.text import clean_or_null, mark_words
+from corpusloom.functions.text import clean_or_null
+from corpusloom.operators.stats import marked_word_counts
 from corpusloom.streaming.progress import progress_rows
 
 
@@ -49,10 +50,7 @@ def incremental_word_counts(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.select(F.explode(mark_words(F.col(text))).alias("word")).groupBy("word").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        counts.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        marked_word_counts(batch, text).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
