@@ -10,12 +10,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.slices import sliced
 from corpusloom.functions.text import WORD_MARK, bert_normalize, bert_words, collapse_whitespace
 from corpusloom.operators.longest import LongestMatch
 from corpusloom.operators.segment import (
@@ -111,7 +112,7 @@ def _encode_udf(shared, ids: bool):
             found = seen[word] = [encoder.piece_id(p) for p in pieces] if ids else pieces
             return found
 
-        for batch in texts:
+        for batch in sliced(texts):
             flat: list = []
             ends = [0]
             for text in batch.to_pylist():
@@ -173,10 +174,15 @@ def ids_to_pieces(df: DataFrame, vocab: DataFrame, ids: str = "ids", out: str =
     """Stored ids back to pieces; a map over the rows, like encoding. Ids out of range give null."""
     shared = df.sparkSession.sparkContext.broadcast(_pieces_by_id(vocab))
 
-    @F.pandas_udf("array<string>")
-    def look_up(rows: pd.Series) -> pd.Series:
-        pieces = shared.value
-        return rows.map(lambda row: [pieces.get(i) for i in row], na_action="ignore")
+    @F.arrow_udf("array<string>")
+    def look_up(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(shared.value.keys(), pa.int64())
+        pieces = pa.array(shared.value.values(), pa.string())
+        for batch in sliced(rows):
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False))
+            values = pieces.take(pc.index_in(batch.flatten().cast(pa.int64()), known))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), values)
+            yield pc.if_else(batch.is_null(), pa.scalar(None, lists.type), lists) if batch.null_count else lists
 
     return df.withColumn(out, look_up(ids))
 
