@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import scratch_path, ship_package
 
-# Rows per Arrow batch: bounds a Python worker's memory also where texts are long.
+# Rows per Arrow batch, and the bytes of it that a function gets at a time: bound a Python worker's memory also
+# where texts are long.
 BATCH_ROWS = 512
+SLICE_BYTES = 1 << 19
 
 
 def prepare(spark: SparkSession) -> None:
@@ -40,12 +42,16 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 
 
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
-    """``function`` from one Arrow batch to one batch (or table), over every partition."""
+    """``function`` from one Arrow batch to one batch (or table), over every partition.
+
+    It gets consecutive slices of the batches, of about ``SLICE_BYTES`` each.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield function(batch)
+            rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for start in range(0, batch.num_rows, rows):
+                yield function(batch.slice(start, rows))
 
     return df.mapInArrow(run, schema)
 
