@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -65,3 +66,67 @@ def test_functions_get_parts_of_batches(spark):
     rows = spark.createDataFrame([("x" * 100_000,)] * 40, "text string").coalesce(1)
     sizes = mapped(rows, lambda b: pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]), "n long").collect()
     assert len(sizes) > 1 and max(r["n"] for r in sizes) <= SLICE_BYTES
+
+
+def _random_merges(rng, words: int, batches: int):
+    """A block of words of few letters and batches of merges, each of pairs that do not overlap in it."""
+    from corpusloom.operators.vocab.symbols import Block
+
+    sizes = rng.integers(0, 12, words)
+    block = Block(rng.integers(97, 101, sizes.sum()), np.repeat(np.arange(words), sizes), np.ones(words, np.int64))
+    made, at, symbol = [], block, 1 << 22
+    for _ in range(batches):
+        codes = at.pairs()
+        codes = np.unique(codes[codes >= 0])
+        if not len(codes):
+            break
+        first = int(rng.choice(codes))
+        apart = [c for c in codes.tolist() if not {c >> 32, c & 0xFFFFFFFF} & {first >> 32, first & 0xFFFFFFFF}][:1]
+        keys = np.array(sorted([first, *apart]), np.int64)
+        made.append((keys, np.arange(symbol, symbol + len(keys))))
+        symbol += len(keys)
+        at = at.merged(made[-1])[0]
+    return block, made, at
+
+
+def test_batches_of_merges_are_applied_word_by_word(monkeypatch):
+    from corpusloom.operators.vocab import symbols
+
+    rng = np.random.default_rng(5)
+    for words in (1, 3, 40, 400):
+        block, made, want = _random_merges(rng, words, 32)
+        got = symbols.advance(block, made)
+        assert got.symbols.tolist() == want.symbols.tolist() and got.word.tolist() == want.word.tolist()
+    looked_at = []
+    find = symbols.Block.find
+    monkeypatch.setattr(symbols.Block, "find", lambda self, keys: looked_at.append(len(self.symbols)) or find(self, keys))
+    symbols.advance(block, made)
+    # Once over all, then the words that go on: not once over all for each batch.
+    assert sum(looked_at) < len(made) * len(want.symbols) / 2
+
+
+def test_words_of_a_part_are_cut_together(monkeypatch):
+    from corpusloom.operators import encode
+
+    rng = np.random.default_rng(7)
+    pieces = sorted({"".join(rng.choice(list("abc\u2581"), size)) for size in rng.integers(1, 6, 60)} | set("abc\u2581"))
+    rows = [{"piece": "<unk>", "id": 0, "score": 0.0, "kind": "unknown"}]
+    # Few distinct scores, so that many ways are tied.
+    rows += [{"piece": p, "id": k + 1, "score": -float(rng.integers(1, 5)) / 3, "kind": "learned"} for k, p in enumerate(pieces)]
+    words = ["".join(rng.choice(list("abcxy"), size)) for size in rng.integers(1, 30, 800)] + ["ab" * 300]
+    texts = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)] + [None, "", " "]
+    for model in ("unigram", "bpe", "char", "word"):
+        for more in ([], [{"piece": "<0x78>", "id": 900, "score": 0.0, "kind": "byte"}], [{"piece": "ba", "id": 901, "score": 0.0, "kind": "user"}]):
+            encoder = encode.Encoder(rows + more, model)
+            want = [[p for w in encoder.words(t or "") for p in encoder.word_pieces(w)] for t in texts]
+            for ids in (False, True):
+                table = encode._WordTable(encoder, ids)
+                for begin in (0, 50, 0):
+                    values, ends = table.encode(texts[begin : begin + 50])
+                    got = [values[a:b].to_pylist() for a, b in zip(ends.tolist(), ends[1:].tolist())]
+                    assert got == [[encoder.piece_id(p) for p in t] if ids else t for t in want[begin : begin + 50]]
+    calls = []
+    encoder = encode.Encoder(rows, "unigram")
+    monkeypatch.setattr(encode, "best_path", lambda *given: calls.append(given) or ["a"])
+    encoder.numbered_pieces(["\u2581abc", "cab", "bb"] * 50, {})
+    assert not calls
