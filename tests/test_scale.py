@@ -130,3 +130,38 @@ def test_words_of_a_part_are_cut_together(monkeypatch):
     monkeypatch.setattr(encode, "best_path", lambda *given: calls.append(given) or ["a"])
     encoder.numbered_pieces(["\u2581abc", "cab", "bb"] * 50, {})
     assert not calls
+
+
+def test_bert_classes_hold_the_same_characters(spark):
+    from corpusloom.functions.text import WHITESPACE, _IDEOGRAPHS, bert_normalize, bert_words
+
+    rows = spark.range(0x110000).filter("id < 55296 OR id > 57343")
+    one = F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')")
+    rows = rows.select("id", F.concat(F.lit("a"), one, F.lit("1")).alias("t"))
+    kept = F.regexp_replace("t", r"[\x00\x{fffd}]|[\p{C}&&[^\t\n\r\p{Cn}]]", "")
+    kept = F.regexp_replace(F.regexp_replace(kept, f"[{WHITESPACE}]", " "), f"([{_IDEOGRAPHS}])", " $1 ")
+    punctuation = r"[\p{P}$+<=>^`|~]"
+    words = F.regexp_extract_all("t", F.lit(rf"{punctuation}|[^{WHITESPACE}\p{{P}}$+<=>^`|~]+"), F.lit(0))
+    assert rows.filter(~(bert_normalize(F.col("t"), lowercase=False) == kept)).count() == 0
+    assert rows.filter(~(bert_words(F.col("t")) == words)).count() == 0
+
+
+def test_longest_match_is_walked_in_lists():
+    import pickle
+
+    from corpusloom.operators.longest import LongestMatch
+
+    match = LongestMatch(["a", "ab", "##c", "##cd", "##d"])
+    assert match.cut("abccd") == ["ab", "##c", "##cd"] and match.cut("abx") == ["[UNK]"]
+    assert all(isinstance(part, list) for part in match._as_lists())
+    assert pickle.loads(pickle.dumps(match)).cut("ad") == ["a", "##d"]
+
+
+def test_arcs_are_ordered_by_counting_or_comparing():
+    from corpusloom.operators.vocab.lattice import _by_offset_and_size
+
+    rng = np.random.default_rng(3)
+    for longest in (50, 5000):
+        offset, size = rng.integers(0, longest, 4000), rng.integers(1, 17, 4000)
+        assert _by_offset_and_size(offset, size).tolist() == np.lexsort((size, offset)).tolist()
+    assert len(_by_offset_and_size(offset[:0], size[:0])) == 0
