@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import as_bytes, held_out, mapped, store, table
+from corpusloom.llm.common import as_bytes, held_out, mapped, slices, store, table
 from corpusloom.llm.shingles import SPACE, mix, words_and_endings
 
 FOLDS, HELD_OUT_FOLD = 7, 2
@@ -29,7 +29,11 @@ END = np.uint64(0x0E4D0E4D0E4D0E4D)
 END_CLASS = 0
 # Units that choose at once, units per task of a round, and the most tasks.
 _TOGETHER, UNITS_PER_TASK, MOST_TASKS = 8, 20_000, 64
-_FLUSH_TOKENS = 1 << 21
+# Units whose counts are sent as one row, their slots, and the numbers of a row: below 2**16.
+UNITS_PER_BLOCK, _SLOTS = 64, 2 * CLASSES
+_BLOCK = UNITS_PER_BLOCK * _SLOTS
+# Neighbours a task counts together, as 32-bit numbers.
+_FLUSH_NEIGHBOURS = 1 << 23
 # Bytes of texts whose words are cut and hashed together.
 _CHUNK_BYTES = 1 << 20
 
@@ -104,57 +108,111 @@ def count_words(train: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n"))
 
 
-def context_counts(train: DataFrame, units: Broadcast) -> DataFrame:
-    """``(unit, slot, n)``: how often each unit stands after (``slot``) and before (``CLASSES + slot``) a class.
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value for each two consecutive bounds: the bytes of ``values`` between them."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
-    Unit -1 holds the class transitions, in slot ``CLASSES * before + after``. The ``END`` of a text
-    also stands before its first word.
+
+def _values(column: pa.Array, kind: str) -> np.ndarray:
+    """The numbers of all binary values in a row."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _bounds(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where each distinct key begins, and the end."""
+    return np.concatenate((np.flatnonzero(np.diff(sorted_keys, prepend=sorted_keys[:1] - 1)), [len(sorted_keys)]))
+
+
+def unit_texts(train: DataFrame, units: Broadcast) -> DataFrame:
+    """``units``, stored: the unit of every token of a text as 32-bit integers, the end as -1.
+
+    Units stay when classes change, so texts are cut into words once for all rounds.
     """
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        u = units.value
-        width = CLASSES * CLASSES
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, endings, sizes = tokens(as_bytes(batch.column("text")))
+        unit = np.where(words == END, -1, units.value.of(words, endings)[0]).astype("<i4")
+        return pa.RecordBatch.from_arrays([_binaries(unit, np.concatenate(([0], np.cumsum(sizes))))], ["units"])
+
+    return store(mapped(train.select("text"), run, "units binary"), "units")
+
+
+def context_counts(texts: DataFrame, units: Broadcast) -> DataFrame:
+    """``(unit, slots, counts)``: how often each unit of ``unit_texts`` stands after (``slot``) and before (``CLASSES + slot``) a class.
+
+    One row per unit; slots are packed as 16-bit and counts as 64-bit integers. Unit -1 holds the class
+    transitions, in slot ``CLASSES * before + after``. The ``END`` of a text also stands before its first
+    word. Tasks count apart and send one row for each ``UNITS_PER_BLOCK`` units, which are added up
+    block by block, so neither side holds more than its own counts or one block.
+    """
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = units.value.classes
         waiting, size = [], 0
-        moves = np.zeros(width, np.int64)
+        moves = np.zeros(CLASSES * CLASSES, np.int64)
 
         def rows():
-            keys, n = np.unique(np.concatenate([k for k, _ in waiting]), return_inverse=True)
-            total = np.bincount(n, np.concatenate([m for _, m in waiting]))
+            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
+            blocks = keys // _BLOCK
+            bounds = _bounds(blocks)
+            return slices([pa.RecordBatch.from_arrays(
+                [pa.array(blocks[bounds[:-1]].astype(np.int64)), _binaries((keys % _BLOCK).astype("<u2"), bounds), _binaries(n.astype("<i8"), bounds)],
+                ["block", "slots", "counts"])])
+
+        for batch in slices(batches):
+            unit = _values(batch.column("units"), "<i4")
+            real = unit >= 0
+            own = np.where(real, classes[unit], END_CLASS)
+            # Texts follow each other: before a first word stands the end of another text, or of the last.
+            before, after = np.roll(own, 1), np.roll(own, -1)
+            moves += np.bincount(CLASSES * before + own, minlength=len(moves))
+            placed = unit[real] * np.int32(_SLOTS)
+            waiting += [placed + before[real], placed + CLASSES + after[real]]
+            size += 2 * len(placed)
+            if size >= _FLUSH_NEIGHBOURS:
+                yield from rows()
+                waiting, size = [], 0
+        if size:
+            yield from rows()
+        found = np.flatnonzero(moves)
+        if len(found):
+            ends = np.array([0, len(found)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1], pa.int64()), _binaries(found.astype("<u2"), ends), _binaries(moves[found].astype("<i8"), ends)],
+                ["block", "slots", "counts"])
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, np.zeros(_BLOCK, np.int64)
+
+        def rows():
+            found = np.flatnonzero(held)
+            unit, slot = (block * UNITS_PER_BLOCK + found // _SLOTS, found % _SLOTS) if block >= 0 else (np.full(len(found), -1), found)
+            bounds = _bounds(unit)
             return pa.RecordBatch.from_arrays(
-                [pa.array((keys // width - 1).astype(np.int64)), pa.array((keys % width).astype(np.int32)), pa.array(total.astype(np.int64))],
-                ["unit", "slot", "n"])
+                [pa.array(unit[bounds[:-1]].astype(np.int64)), _binaries(slot.astype("<u2"), bounds), _binaries(held[found].astype("<i8"), bounds)],
+                ["unit", "slots", "counts"])
 
         for batch in batches:
-            words, endings, sizes = tokens(as_bytes(batch.column("text")))
-            if not len(sizes):
-                continue
-            unit = u.of(words, endings)[0]
-            own = u.class_of(words, unit)
-            ends = np.cumsum(sizes)
-            before = np.roll(own, 1)
-            before[ends - sizes] = END_CLASS
-            after = np.roll(own, -1)
-            real = words != END
-            moves += np.bincount(CLASSES * before + own, minlength=width)
-            placed = (unit[real] + 1) * width
-            keys, n = np.unique(np.concatenate((placed + before[real], placed + CLASSES + after[real])), return_counts=True)
-            waiting.append((keys, n))
-            size += len(keys)
-            if size >= _FLUSH_TOKENS:
-                yield rows()
-                waiting, size = [], 0
-        if moves.any():
-            waiting.append((np.flatnonzero(moves), moves[moves > 0]))
+            for key, slot, n in zip(*(column.to_pylist() for column in batch.columns)):
+                if key != block:
+                    if block is not None:
+                        yield rows()
+                    block = key
+                    held[:] = 0
+                held[np.frombuffer(slot, "<u2")] += np.frombuffer(n, "<i8")  # slots of a row are distinct
+        if block is not None:
             yield rows()
 
-    return train.select("text").mapInArrow(run, "unit long, slot int, n long").groupBy("unit", "slot").agg(F.sum("n").alias("n"))
+    sent = texts.mapInArrow(count, "block long, slots binary, counts binary")
+    return sent.repartition("block").sortWithinPartitions("block").mapInArrow(add, "unit long, slots binary, counts binary")
 
 
 def _matrix(counts: DataFrame) -> np.ndarray:
-    """Class transitions from the rows of unit -1: ``CLASSES`` squared at the most."""
+    """Class transitions from the row of unit -1: ``CLASSES`` squared at the most."""
     out = np.zeros(CLASSES * CLASSES)
-    for row in counts.filter("unit = -1").select("slot", "n").collect():
-        out[row["slot"]] = row["n"]
+    for row in counts.filter("unit = -1").collect():
+        out[np.frombuffer(row["slots"], "<u2")] = np.frombuffer(row["counts"], "<i8")
     return out.reshape(CLASSES, CLASSES)
 
 
@@ -207,9 +265,9 @@ def exchange(counts: DataFrame, units: Broadcast, pairs: Broadcast, half: int |
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = pairs.value.copy()
         for batch in batches:
-            unit, slots = batch.column("unit").to_numpy(), batch.column("slots")
-            begin = slots.offsets.to_numpy() - slots.offsets[0].as_py()
-            slot, n = slots.flatten().field("slot").to_numpy(), slots.flatten().field("n").to_numpy().astype(float)
+            unit = batch.column("unit").to_numpy()
+            begin = np.cumsum([0, *(len(value) // 2 for value in batch.column("slots").to_pylist())])
+            slot, n = _values(batch.column("slots"), "<u2").astype(np.int64), _values(batch.column("counts"), "<i8").astype(float)
             own, chosen = units.value.classes[unit], np.empty(len(unit), np.int32)
             for k in range(0, len(unit), _TOGETHER):
                 few = slice(k, min(k + _TOGETHER, len(unit)))
@@ -224,8 +282,8 @@ def exchange(counts: DataFrame, units: Broadcast, pairs: Broadcast, half: int |
                 np.maximum(matrix, 0.0, out=matrix)
             yield pa.RecordBatch.from_arrays([batch.column("unit"), pa.array(chosen)], ["unit", "class"])
 
-    # At most twice ``CLASSES`` entries for each unit.
-    grouped = counts.filter("unit >= 0").groupBy("unit").agg(F.collect_list(F.struct("slot", "n")).alias("slots"))
+    # One row of at most twice ``CLASSES`` entries for each unit.
+    grouped = counts.filter("unit >= 0")
     if half is not None:
         grouped = grouped.filter(F.pmod(F.xxhash64("unit"), F.lit(2)) == half)
     tasks = min(MOST_TASKS, len(units.value.classes) // UNITS_PER_TASK + 1)
@@ -262,9 +320,10 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int, int, Br
     classes = 1 + np.concatenate((rank, np.arange(ENDINGS))) % (CLASSES - 1)
     units = Units(hashes, n, classes.astype(np.int32))
     best = None
+    shared = spark.sparkContext.broadcast(units)
+    texts = unit_texts(train, shared)
     for k in range(rounds + 1):
-        shared = spark.sparkContext.broadcast(units)
-        counts = store(context_counts(train, shared), "contexts")
+        counts = store(context_counts(texts, shared), "contexts")
         pairs = _matrix(counts)
         value = likelihood(pairs)
         if best is None or value > best[0]:
@@ -275,6 +334,7 @@ def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, int, int, Br
         classes = units.classes.copy()
         classes[moved["unit"].to_numpy(np.int64)] = moved["class"].to_numpy(np.int32)
         units = Units(hashes, n, classes)
+        shared = spark.sparkContext.broadcast(units)
     _, shared, pairs = best
     sizes = class_sizes(words, shared)
     emission = pairs.sum(0) + sizes + 1.0

@@ -41,17 +41,23 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of the batches, of about ``SLICE_BYTES`` each; none of an empty batch."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
     """``function`` from one Arrow batch to one batch (or table), over every partition.
 
-    It gets consecutive slices of the batches, of about ``SLICE_BYTES`` each.
+    It gets the ``slices`` of the batches.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
-            for start in range(0, batch.num_rows, rows):
-                yield function(batch.slice(start, rows))
+        for batch in slices(batches):
+            yield function(batch)
 
     return df.mapInArrow(run, schema)
 

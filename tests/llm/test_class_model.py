@@ -86,3 +86,32 @@ def test_exchange_finds_classes(spark):
     got = cm.score(docs, *cm.fit(docs)).agg({"score": "sum", "base_score": "sum"}).first()
     # Half of the words follow each other only: knowing the side is worth up to log10(2) a token.
     assert got["sum(score)"] - got["sum(base_score)"] > 0.15 * 150 * 41
+
+
+def test_contexts_equal_plain_counts_in_packed_rows(spark, monkeypatch):
+    # Tasks flush after every few texts: counts are those of one pass, and one row per unit is stored.
+    monkeypatch.setattr(cm, "_FLUSH_NEIGHBOURS", 64)
+    draw = random.Random(4)
+    texts = [None, "", " \n", "a", *(" ".join(f"w{draw.randrange(40)}x{draw.randrange(9)}" for _ in range(draw.randrange(30))) for _ in range(60))]
+    train = spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(3)
+    hashes, n = np.unique(np.concatenate([cm.tokens([t.encode()])[0] for t in texts[3:20]]), return_counts=True)
+    hashes, n = hashes[hashes != cm.END], n[hashes != cm.END]
+    units = cm.Units(hashes, n, (1 + np.arange(len(hashes) + cm.ENDINGS) % (cm.CLASSES - 1)).astype(np.int32))
+    shared = spark.sparkContext.broadcast(units)
+    expected = Counter()
+    for text in texts * 2:
+        words, endings, _ = cm.tokens([(text or "").encode()])
+        unit = units.of(words, endings)[0]
+        own = units.class_of(words, unit).tolist()
+        for k, (u, c) in enumerate(zip(unit.tolist(), own)):
+            before = own[k - 1] if k else cm.END_CLASS
+            expected[-1, cm.CLASSES * before + c] += 1
+            if k + 1 < len(own):
+                expected[u, before] += 1
+                expected[u, cm.CLASSES + own[k + 1]] += 1
+    rows = cm.context_counts(cm.unit_texts(train, shared), shared).collect()
+    got = {(r["unit"], s): m for r in rows for s, m in zip(np.frombuffer(r["slots"], "<u2").tolist(), np.frombuffer(r["counts"], "<i8").tolist())}
+    assert got == dict(expected)
+    assert len(rows) == len({u for u, _ in expected})
+    none = train.limit(0)
+    assert cm.context_counts(cm.unit_texts(none, shared), shared).count() == 0
