@@ -44,12 +44,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every copy."""
+    """Token counts and digests of every copy: encoded, decoded and digested in one map."""
     import public_tokenizers
 
     prepare(spark)
     ranks = byte_bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return byte_bpe.token_digests(byte_bpe.decode_ids(byte_bpe.encode_texts(docs, ranks), ranks))
+    return byte_bpe.text_digests(docs, ranks)
 
 
 STAGES = [

@@ -11,6 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,7 +227,7 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids))
 
     def decode_at(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """The bytes of one text's ids, each put at its offset: one gather from the pieces in a row."""
+        """The bytes of ids, each put at its offset: one gather from the pieces in a row."""
         sizes = self.sizes[ids]
         out = np.empty(int(sizes.sum()), np.uint8)
         within = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -251,13 +252,14 @@ def load_ranks(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 
 
-def encode_texts(docs: DataFrame, ranks: Broadcast) -> DataFrame:
-    """``(doc_id, ids, offsets)`` per row: ids and the byte offset at which each token starts.
+def _list_bounds(column: pa.Array) -> np.ndarray:
+    """Where each list begins among all values in a row, and the end; a null list has none."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    return np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
 
-    Special tokens are ordinary text. Null and empty texts have no ids. Rows are independent:
-    repeated rows and null ids are kept as they are, extra columns are ignored, and an empty table
-    gives no rows. A map without a shuffle.
-    """
+
+def _encoder(ranks: Broadcast):
+    """``(doc_id, text)`` batches to ``(doc_id, ids, offsets)``."""
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, offsets, bounds = _codec(ranks).encode([t or "" for t in batch.column("text").to_pylist()])
@@ -267,58 +269,71 @@ def encode_texts(docs: DataFrame, ranks: Broadcast) -> DataFrame:
             pa.ListArray.from_arrays(bounds, pa.array(offsets)),
         ], ["doc_id", "ids", "offsets"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return mapped(docs.select("doc_id", "text"), encode, f"doc_id {kind}, ids array<int>, offsets array<int>")
+    return encode
 
 
-def decode_ids(tokens: DataFrame, ranks: Broadcast) -> DataFrame:
-    """``(doc_id, ids, decoded)`` per row of ``(doc_id, ids)``; ``decoded`` holds the bytes. Null ids are none."""
+def _decoder(ranks: Broadcast):
+    """``(doc_id, ids, ...)`` batches to ``(doc_id, ids, decoded)``."""
 
     def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec, column = _codec(ranks), batch.column("ids")
-        decoded = [codec.decode(i or ()) for i in column.to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), column, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+        ids = column.flatten().to_numpy()
+        if len(ids) and (ids.min() < 0 or not codec.sizes[ids].all()):
+            raise KeyError("an id without a piece")
+        starts = np.concatenate(([0], np.cumsum(codec.sizes[ids])))
+        data, cuts = codec.decode_at(ids, starts[:-1]), starts[_list_bounds(column)].astype(np.int32)
+        decoded = pa.BinaryArray.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), column, decoded], ["doc_id", "ids", "decoded"])
 
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    return mapped(tokens.select("doc_id", "ids"), decode, f"doc_id {kind}, ids array<int>, decoded binary")
+    return decode
 
 
-def token_digests(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of ``(doc_id, ids, decoded)``: ids as little-endian 32-bit integers."""
+def _digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``(doc_id, ids, decoded)`` batches to counts and digests."""
+    words, bounds = batch.column("ids").flatten().to_numpy().astype("<u4"), _list_bounds(batch.column("ids"))
+    own = [hashlib.sha256(words[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:])]
+    back = [None if d is None else hashlib.sha256(d).hexdigest() for d in batch.column("decoded").to_pylist()]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), pa.array(np.diff(bounds)), pa.array(own, pa.string()), pa.array(back, pa.string())],
+        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    def digest(column):
-        import pandas as pd
 
-        return pd.Series([hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest() for ids in column])
+def _with_id(df: DataFrame, columns: str) -> str:
+    """The schema of ``doc_id`` as in ``df`` and these columns."""
+    return f"doc_id {df.schema['doc_id'].dataType.simpleString()}, {columns}"
 
-    ids_sha256 = F.pandas_udf(digest, "string")
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
 
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-def text_digests(docs: DataFrame, ranks: Broadcast) -> DataFrame:
-    """What :func:`token_digests` gives for encoded and decoded texts, without ids that leave the task.
 
-    Texts are encoded, decoded again through the retained offsets and digested batch by batch. Nulls,
-    repeated rows and empty tables as in :func:`encode_texts`.
+def encode_texts(docs: DataFrame, ranks: Broadcast) -> DataFrame:
+    """``(doc_id, ids, offsets)`` per row: ids and the byte offset at which each token starts.
+
+    Special tokens are ordinary text. Null and empty texts have no ids. Rows are independent:
+    repeated rows and null ids are kept as they are, extra columns are ignored, and an empty table
+    gives no rows. A map without a shuffle.
     """
+    return mapped(docs.select("doc_id", "text"), _encoder(ranks), _with_id(docs, "ids array<int>, offsets array<int>"))
+
+
+def decode_ids(tokens: DataFrame, ranks: Broadcast) -> DataFrame:
+    """``(doc_id, ids, decoded)`` per row of ``(doc_id, ids)``; ``decoded`` holds the bytes. Null ids are none."""
+    return mapped(tokens.select("doc_id", "ids"), _decoder(ranks), _with_id(tokens, "ids array<int>, decoded binary"))
+
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codec = _codec(ranks)
-        ids, offsets, bounds = codec.encode([t or "" for t in batch.column("text").to_pylist()])
-        words, own, back = ids.astype("<u4"), [], []
-        for a, b in zip(bounds, bounds[1:]):
-            own.append(hashlib.sha256(words[a:b].tobytes()).hexdigest())
-            back.append(hashlib.sha256(codec.decode_at(ids[a:b], offsets[a:b]).tobytes()).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(own), pa.array(back)],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return mapped(docs.select("doc_id", "text"), run, schema)
+def token_digests(decoded: DataFrame) -> DataFrame:
+    """Counts and digests of ``(doc_id, ids, decoded)``: ids as little-endian 32-bit integers."""
+    return mapped(decoded.select("doc_id", "ids", "decoded"), _digest, _with_id(decoded, DIGESTS))
+
+
+def text_digests(docs: DataFrame, ranks: Broadcast) -> DataFrame:
+    """``encode_texts``, ``decode_ids`` and ``token_digests`` one after the other on each slice, in one map.
+
+    A task needs one Python worker with one rank table, not three, and neither ids nor decoded bytes
+    leave it. Nulls, repeated rows and empty tables as in :func:`encode_texts`.
+    """
+    encode, decode = _encoder(ranks), _decoder(ranks)
+    return mapped(docs.select("doc_id", "text"), lambda batch: _digest(decode(encode(batch))), _with_id(docs, DIGESTS))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+import corpus_pipeline
 from corpusloom.llm.byte_bpe import (
     Codec, decode_ids, encode_texts, load_ranks, merge_slice, op7_byte_bpe, text_digests, token_digests,
 )
@@ -71,3 +72,29 @@ def test_query(spark, sf, encoding):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_pipeline_tokens_take_one_worker_a_task(spark, encoding):
+    ranks, library = encoding
+    rows = [(k, t, "en", "web", len(t)) for k, t in enumerate(TEXTS * 3)] + [(None, None, None, None, None), (3, "a b", "en", "web", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
+    out = dict(corpus_pipeline.STAGES)["tokens"](spark, df, None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    expected = []
+    for k, text, *_ in rows:
+        ids = library.encode_ordinary(text or "")
+        expected.append((k, len(ids), hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    for got in (out, token_digests(decode_ids(encode_texts(df, ranks), ranks))):
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_ids_that_are_null_or_unknown(spark, encoding):
+    ranks, _ = encoding
+    df = spark.createDataFrame([(1, None), (2, []), (3, [64, 65])], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: (r["ids"], bytes(r["decoded"])) for r in decode_ids(df.coalesce(1), ranks).collect()}
+    pieces = {r: p for p, r in ranks.value.items()}
+    assert got == {1: (None, b""), 2: ([], b""), 3: ([64, 65], pieces[64] + pieces[65])}
+    for bad in (-1, 10**6):
+        with pytest.raises(Exception):
+            decode_ids(spark.createDataFrame([(1, [bad])], "doc_id long, ids array<int>"), ranks).collect()
