@@ -18,6 +18,7 @@ from corpusloom.operators.vocab import simple, table as vt
 from corpusloom.operators.vocab.bpe import train_bpe, train_wordpiece
 from corpusloom.operators.vocab.symbols import IndexedBlock, spell
 from corpusloom.operators.vocab.unigram import train_unigram
+from corpusloom.plans import queries
 
 spm = pytest.importorskip("sentencepiece")
 
@@ -175,6 +176,16 @@ def test_merges_run_out_softly_or_fail(spark):
     assert max(map(len, pieces(train_bpe(spark, words, 100, 1.0, max_piece_length=2))[4:])) == 2
 
 
+def test_bpe_query_trains_a_whole_vocabulary(spark, tmp_path):
+    """Words that need more than 600 pieces all become pieces."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijkl", k=5)) for _ in range(400)]
+    rows = [(i, " ".join([w] * (i % 40 + 1)), "en", "s", 0) for i, w in enumerate(words)]
+    spark.createDataFrame(rows, queries.DOCUMENT_SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    made = pieces(queries.QUERIES["train_bpe"](spark, str(tmp_path)))
+    assert {f"▁{w}" for w in words} <= set(made) and 600 < len(made) <= 8000
+
+
 def test_word_and_char_scores_equal_library(spark, sentences, tmp_path):
     words = word_counts(sentences[1], mark_words(F.col("text")))
     for model, mine in (("char", simple.train_char(spark, words, 90, 0.9995)), ("word", simple.train_word(spark, words, 300))):
