@@ -16,7 +16,7 @@ from corpusloom.operators.stats import word_counts
 from corpusloom.operators.vocab import merges as mg
 from corpusloom.operators.vocab import simple, table as vt
 from corpusloom.operators.vocab.bpe import train_bpe, train_wordpiece
-from corpusloom.operators.vocab.symbols import IndexedBlock, spell
+from corpusloom.operators.vocab.symbols import IndexedBlock, Keys, spell
 from corpusloom.operators.vocab.unigram import train_unigram
 from corpusloom.plans import queries
 
@@ -140,6 +140,21 @@ def test_batched_merges_equal_one_by_one(spark, monkeypatch, seed, tracked):
     assert [tuple(g) for g in got] == one_by_one(table.items(), 30, 6)
 
 
+def test_merges_of_cached_blocks_and_of_many_files(spark, monkeypatch):
+    """Blocks as rows, where the shared folder is no mounted file system, and several files a task."""
+    rng = random.Random(9)
+    table = {"".join(rng.choice("aabcd") for _ in range(rng.randint(1, 8))): rng.randint(1, 9) for _ in range(60)}
+    words = spark.createDataFrame(list(table.items()), "word string, n long").repartition(3)
+    wanted = one_by_one(table.items(), 40)
+    monkeypatch.setattr(mg, "ROUNDS_PER_TABLE", 4)
+    monkeypatch.setattr(mg, "WORDS_PER_PARTITION", 3)
+    trainer = mg.MergeTrainer(spark, words, mg.MergeOptions())
+    assert trainer._tasks < len(trainer._files) and [tuple(g) for g in trainer.run(40)] == wanted
+    trainer.close()
+    monkeypatch.setattr(mg, "local_path", lambda spark, path: None)
+    assert [tuple(g) for g in mg.learn_merges(spark, words, 40, mg.MergeOptions())] == wanted
+
+
 @pytest.mark.parametrize("tracked", [1, 3])
 def test_ties_wider_than_the_tracked_pairs(spark, monkeypatch, tracked):
     monkeypatch.setattr(mg, "TRACKED_PAIRS", tracked)
@@ -152,12 +167,15 @@ def test_ties_wider_than_the_tracked_pairs(spark, monkeypatch, tracked):
     assert [tuple(g) for g in mg.learn_merges(spark, words, 20, mg.MergeOptions())] == one_by_one(table, 20)
 
 
-def test_rounds_touch_only_words_of_their_pairs():
+def test_rounds_touch_only_words_of_their_pairs(tmp_path):
     rng = random.Random(1)
     words = np.array(["".join(rng.choices("abcd", k=rng.randrange(0, 9))) for _ in range(300)], object)
     plain = spell(words, np.arange(len(words)), None)
     index = IndexedBlock.of(plain)
     index = next(IndexedBlock.read([index.to_arrow()]))
+    index.save(f"{tmp_path}/block")
+    stored = IndexedBlock.load(f"{tmp_path}/block")
+    assert all((getattr(stored, name) == getattr(index, name)).all() for name in IndexedBlock.COLUMNS)
     for pair in ("ab", "cc", "dz"):
         code = np.array([(ord(pair[0]) << 32) | ord(pair[1])])
         held = index.holding(code)
@@ -167,6 +185,20 @@ def test_rounds_touch_only_words_of_their_pairs():
     assert (index.whole().symbols == plain.symbols).all() and (index.whole().word == plain.word).all()
 
 
+def test_pairs_are_found_by_table_and_by_search(monkeypatch):
+    rng = np.random.default_rng(2)
+    symbols = rng.integers(0, 9, 500)
+    keys = np.unique((rng.integers(1, 9, 12) << 32) | rng.integers(1, 12, 12))
+    codes = (symbols[:-1] << 32) | symbols[1:]
+    places = [k for k, c in enumerate(codes.tolist()) if c in set(keys.tolist())]
+    for many, cells in ((1, 1 << 20), (1, 1), (1 << 16, 1)):
+        monkeypatch.setattr(Keys, "MANY_SYMBOLS", many)
+        monkeypatch.setattr(Keys, "MOST_CELLS", cells)
+        at, slot = Keys(keys).among(symbols)
+        assert at.tolist() == places and (keys[slot] == codes[at]).all()
+        assert not len(Keys(keys[:0]).among(symbols)[0]) and not len(Keys(keys).among(symbols[:1])[0])
+
+
 def test_merges_run_out_softly_or_fail(spark):
     words = spark.createDataFrame([("aaaa", 1), ("abab", 1), ("b", 3)], "word string, n long")
     vocab = train_bpe(spark, words, 100, 1.0)
